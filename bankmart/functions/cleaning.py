@@ -19,11 +19,10 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters Python's str.isspace() accepts (what pandas .str.strip() removes),
-# as a Java regex class.  Java's own \s only knows the ASCII six.
-WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-)
+# Every character Python's str.isspace() accepts - what pandas .str.strip()
+# removes.  Java's \s and Spark's trim() only know ASCII whitespace.  Built
+# from the rule itself rather than written out.
+WHITESPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 # Text pandas.to_numeric accepts: optional sign, digits with an optional
 # fraction (or a bare fraction), optional exponent, optional surrounding
@@ -39,10 +38,12 @@ def _col(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Remove leading and trailing whitespace (``str.strip`` semantics)."""
-    x = _col(c)
-    x = F.regexp_replace(x, "^" + WHITESPACE_CLASS + "+", "")
-    return F.regexp_replace(x, WHITESPACE_CLASS + "+$", "")
+    """Remove leading and trailing whitespace (``str.strip`` semantics).
+
+    ``btrim`` with an explicit character set: a character scan from both
+    ends, no regular expression.
+    """
+    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def standardise(c: str | Column, mapping: Mapping[str, str]) -> Column:
@@ -59,8 +60,8 @@ def standardise(c: str | Column, mapping: Mapping[str, str]) -> Column:
 def to_number(c: str | Column) -> Column:
     """Text -> DOUBLE; text pandas would not parse, NaN and empty give null."""
     x = strip_ws(c)
-    parsed = x.try_cast("double")
-    return F.when(x.rlike(NUMERIC_PATTERN) & ~F.isnan(parsed), parsed)
+    # The gate admits no NaN spelling, so a parsed value is never NaN.
+    return F.when(x.rlike(NUMERIC_PATTERN), x.try_cast("double"))
 
 
 def to_bool(c: str | Column) -> Column:
@@ -102,10 +103,14 @@ def is_missing(c: str | Column) -> Column:
     return _col(c).isNull()
 
 
-def null_tokens(c: str | Column, tokens: Iterable[str]) -> Column:
-    """Cells whose whole text is a missing-value spelling become null."""
-    x = _col(c)
-    return F.when(x.isin(list(tokens)), F.lit(None).cast("string")).otherwise(x)
+def null_tokens(c: str, tokens: Iterable[str]) -> Column:
+    """Cells whose whole text is a missing-value spelling become null.
+
+    One SQL predicate per column (an ``InSet`` hash lookup), built from text so
+    a wide table does not cost a driver round trip per token and column.
+    """
+    listed = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+    return F.expr(f"CASE WHEN `{c}` IN ({listed}) THEN CAST(NULL AS STRING) ELSE `{c}` END")
 
 
 def round_half_even(c: str | Column, scale: int) -> Column:

@@ -53,11 +53,11 @@ class _SilverView(dict):
 
 
 def _bronze_check(name: str) -> Callable[[Layers], DataFrame]:
-    return lambda L: quality.bronze_checks(L.bronze)[name]
+    return lambda L: quality.BRONZE_CHECKS[name](L.bronze)
 
 
 def _silver_check(name: str) -> Callable[[Layers], DataFrame]:
-    return lambda L: quality.silver_checks(_SilverView(L))[name]
+    return lambda L: quality.SILVER_CHECKS[name](_SilverView(L))
 
 
 QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
@@ -67,15 +67,8 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_loans": _silver("loans"),
     **{name: _mart(fn) for name, fn in gold.MARTS.items()},
     **{name: _mart(fn) for name, fn in analytics.QUERIES.items()},
-    **{name: _bronze_check(name) for name in (
-        "vb_row_counts", "vb_branch_type_counts", "vb_top_post_codes", "vb_payment_channel_counts",
-        "vb_transaction_nulls", "vb_invalid_rate_counts", "vb_dirty_rates")},
-    **{name: _silver_check(name) for name in (
-        "vs_row_counts", "vs_branch_type_counts", "vs_null_staff_count", "vs_manager_leading_space",
-        "vs_gender_counts", "vs_kyc_status_counts", "vs_null_income_count",
-        "vs_payment_channel_counts", "vs_currency_counts", "vs_negative_balance_count",
-        "vs_orphaned_split", "vs_loan_status_counts", "vs_null_rate_count",
-        "vs_impossible_balance_count")},
+    **{name: _bronze_check(name) for name in quality.BRONZE_CHECKS},
+    **{name: _silver_check(name) for name in quality.SILVER_CHECKS},
     # spot checks: the limit is the feature (rows-only comparison)
     "vb_peek_branches": lambda L: quality.spot_check(L.bronze["branches"].drop(ARRIVAL)),
     "vb_peek_customers": lambda L: quality.spot_check(L.bronze["customers"].drop(ARRIVAL)),

@@ -146,37 +146,43 @@ def managers_with_leading_space(branches: DataFrame, n: int = 5) -> DataFrame:
     return sample_rows(branches.select("branch_manager"), n, F.col("branch_manager").like(" %"))
 
 
+# Each check is a builder over a dict-like of tables, so asking for one check
+# builds (and reads) only the tables that check needs.
+SILVER_CHECKS = {
+    "vs_row_counts": row_counts,
+    "vs_branch_type_counts": lambda s: value_counts(s["branches"], "branch_type"),
+    "vs_null_staff_count": lambda s: null_count(s["branches"], "no_of_staff", "null_staff_count"),
+    "vs_manager_leading_space": lambda s: managers_with_leading_space(s["branches"]),
+    "vs_gender_counts": lambda s: value_counts(s["customers"], "gender"),
+    "vs_kyc_status_counts": lambda s: value_counts(s["customers"], "kyc_status"),
+    "vs_null_income_count": lambda s: null_count(s["customers"], "annual_income", "null_income_count"),
+    "vs_payment_channel_counts": lambda s: value_counts(s["transactions"], "payment_channel"),
+    "vs_currency_counts": lambda s: value_counts(s["transactions"], "currency"),
+    "vs_negative_balance_count": lambda s: count_where(
+        s["transactions"], F.col("balance_after_transaction") < 0, "negative_balance_count"),
+    "vs_orphaned_split": lambda s: value_counts(s["transactions"], "orphaned", ordered=False),
+    "vs_loan_status_counts": lambda s: value_counts(s["loans"], "loan_status"),
+    "vs_null_rate_count": lambda s: null_count(s["loans"], "interest_rate", "null_rate_count"),
+    "vs_impossible_balance_count": lambda s: count_where(
+        s["loans"], F.col("balance") > F.col("principal_amount"), "impossible_balance_count"),
+}
+
+BRONZE_CHECKS = {
+    "vb_row_counts": row_counts,
+    "vb_branch_type_counts": lambda b: branch_type_counts(b["branches"]),
+    "vb_top_post_codes": lambda b: top_post_codes(b["branches"]),
+    "vb_payment_channel_counts": lambda b: payment_channel_counts(b["transactions"]),
+    "vb_transaction_nulls": lambda b: transaction_nulls(b["transactions"]),
+    "vb_invalid_rate_counts": lambda b: invalid_rate_counts(b["loans"]),
+    "vb_dirty_rates": dirty_rates,
+}
+
+
 def silver_checks(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The silver validation statements, each a DataFrame."""
-    b, c, t, lo = s["branches"], s["customers"], s["transactions"], s["loans"]
-    return {
-        "vs_row_counts": row_counts(s),
-        "vs_branch_type_counts": value_counts(b, "branch_type"),
-        "vs_null_staff_count": null_count(b, "no_of_staff", "null_staff_count"),
-        "vs_manager_leading_space": managers_with_leading_space(b),
-        "vs_gender_counts": value_counts(c, "gender"),
-        "vs_kyc_status_counts": value_counts(c, "kyc_status"),
-        "vs_null_income_count": null_count(c, "annual_income", "null_income_count"),
-        "vs_payment_channel_counts": value_counts(t, "payment_channel"),
-        "vs_currency_counts": value_counts(t, "currency"),
-        "vs_negative_balance_count": count_where(t, F.col("balance_after_transaction") < 0,
-                                                 "negative_balance_count"),
-        "vs_orphaned_split": value_counts(t, "orphaned", ordered=False),
-        "vs_loan_status_counts": value_counts(lo, "loan_status"),
-        "vs_null_rate_count": null_count(lo, "interest_rate", "null_rate_count"),
-        "vs_impossible_balance_count": count_where(lo, F.col("balance") > F.col("principal_amount"),
-                                                   "impossible_balance_count"),
-    }
+    """All silver validation statements, each a DataFrame."""
+    return {name: build(s) for name, build in SILVER_CHECKS.items()}
 
 
 def bronze_checks(b: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The bronze validation statements, each a DataFrame."""
-    return {
-        "vb_row_counts": row_counts(b),
-        "vb_branch_type_counts": branch_type_counts(b["branches"]),
-        "vb_top_post_codes": top_post_codes(b["branches"]),
-        "vb_payment_channel_counts": payment_channel_counts(b["transactions"]),
-        "vb_transaction_nulls": transaction_nulls(b["transactions"]),
-        "vb_invalid_rate_counts": invalid_rate_counts(b["loans"]),
-        "vb_dirty_rates": dirty_rates(b),
-    }
+    """All bronze validation statements, each a DataFrame."""
+    return {name: build(b) for name, build in BRONZE_CHECKS.items()}

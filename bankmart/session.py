@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
+    # Fall back from whole-stage codegen when a stage's generated method is
+    # too big for the JVM to JIT-compile (8000 bytecodes); such a method would
+    # otherwise run interpreted.  The wide cleaning projections hit this.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
