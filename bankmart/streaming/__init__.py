@@ -1,0 +1,5 @@
+"""Incremental landing of new raw files with the row-local silver rules."""
+
+from bankmart.streaming.incremental import finish_batch, incremental_silver, read_raw_stream, start
+
+__all__ = ["finish_batch", "incremental_silver", "read_raw_stream", "start"]
