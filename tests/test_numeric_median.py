@@ -60,9 +60,9 @@ def test_round_half_up_single_values(spark):
     assert got == [2.68, 1.01, -1.01, None]
 
 
-def _median_of(spark, values, parts=4):
+def _median_of(spark, values, parts=4, small_bytes=None):
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
-    return exact_median(df, "v").first()[0]
+    return exact_median(df, "v", small_bytes=small_bytes).first()[0]
 
 
 @pytest.mark.parametrize("values,expect", [
@@ -75,7 +75,9 @@ def _median_of(spark, values, parts=4):
     ([1, 2, float("nan"), 3], 2.0),
 ])
 def test_exact_median_small(spark, values, expect):
-    assert _median_of(spark, [None if v is None else float(v) for v in values]) == expect
+    vals = [None if v is None else float(v) for v in values]
+    assert _median_of(spark, vals) == expect                       # bracketed path
+    assert _median_of(spark, vals, small_bytes=1 << 40) == expect  # size-checked path
 
 
 def test_exact_median_matches_numpy_with_hot_value(spark):
@@ -93,7 +95,10 @@ def test_exact_median_random(spark, seed):
     rnd = random.Random(seed)
     n = rnd.randint(1, 5000)
     vals = [round(rnd.gauss(100, 30), 2) for _ in range(n)]
-    assert _median_of(spark, vals, parts=rnd.randint(1, 8)) == pytest.approx(float(np.median(vals)), abs=1e-9)
+    parts = rnd.randint(1, 8)
+    bracketed = _median_of(spark, vals, parts=parts)
+    assert bracketed == pytest.approx(float(np.median(vals)), abs=1e-9)
+    assert _median_of(spark, vals, parts=parts, small_bytes=1 << 40) == bracketed
 
 
 def test_fill_median_population_and_type(spark):
