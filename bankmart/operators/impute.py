@@ -13,8 +13,8 @@ here never puts more than a thin slice of the data in one place:
 3. a running count over that small histogram finds the values of rank
    ``(n+1) div 2`` and ``n div 2 + 1``; the median is their mean, as pandas.
 
-The result is a lazy one-row DataFrame, joined back by broadcast, so no value
-goes through the driver.  If the sketch ever missed the middle rank the
+The result is a lazy one-row DataFrame (used as a scalar subquery by
+``fill_median``), so no value goes through the driver.  If the sketch ever missed the middle rank the
 query fails loudly (``raise_error``) instead of returning a wrong value.
 
 Size check: when the optimizer's size estimate of the population (file sizes
@@ -63,33 +63,29 @@ def exact_median(
     bounds = v.agg(
         F.count(F.lit(1)).alias("__n"),
         F.percentile_approx(_V, [0.5 - margin, 0.5 + margin], accuracy).alias("__q"),
-    ).select(
-        "__n",
-        F.col("__q")[0].alias("__lo"),
-        F.col("__q")[1].alias("__hi"),
-        ((F.col("__n") + 1) / 2).cast("long").alias("__r1"),
-        ((F.col("__n") / 2).cast("long") + 1).alias("__r2"),
     )
-    b = F.broadcast(bounds)
+    # Scalar subqueries over one aggregate (Spark merges them into one job).
+    n = bounds.select("__n").scalar()
+    lo = bounds.select(F.col("__q")[0]).scalar()
+    hi = bounds.select(F.col("__q")[1]).scalar()
+    r1 = ((n + 1) / 2).cast("long")
+    r2 = (n / 2).cast("long") + 1
     # Rows below the bracket collapse onto one null key; rows above are dropped.
     hist = (
-        v.crossJoin(b)
-        .where(F.col(_V) <= F.col("__hi"))
-        .groupBy(F.when(F.col(_V) >= F.col("__lo"), F.col(_V)).alias(_KEY))
+        v.where(F.col(_V) <= hi)
+        .groupBy(F.when(F.col(_V) >= lo, F.col(_V)).alias(_KEY))
         .agg(F.count(F.lit(1)).alias("__c"))
     )
     # The histogram holds only the bracket: a window over it is small.
     w = Window.orderBy(F.col(_KEY).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = hist.withColumn("__cum", F.sum("__c").over(w)).crossJoin(b)
-    picked = ranked.agg(
-        F.first("__n").alias("__n"),
-        F.min(F.when(F.col("__cum") >= F.col("__r1"), F.col(_KEY))).alias("__v1"),
-        F.min(F.when(F.col("__cum") >= F.col("__r2"), F.col(_KEY))).alias("__v2"),
-        F.max(F.when(F.col(_KEY).isNull() & (F.col("__cum") >= F.col("__r1")), F.lit(1))).alias("__miss_low"),
-        F.max(F.col("__cum")).alias("__top"),
-        F.first("__r2").alias("__r2"),
+    cum = F.col("__cum")
+    picked = hist.withColumn("__cum", F.sum("__c").over(w)).agg(
+        F.min(F.when(cum >= r1, F.col(_KEY))).alias("__v1"),
+        F.min(F.when(cum >= r2, F.col(_KEY))).alias("__v2"),
+        F.max(F.when(F.col(_KEY).isNull() & (cum >= r1), F.lit(1))).alias("__miss_low"),
+        F.max(cum).alias("__top"),
     )
-    missed = F.col("__miss_low").isNotNull() | (F.col("__top") < F.col("__r2"))
+    missed = F.col("__miss_low").isNotNull() | (F.col("__top") < r2)
     value = F.when(missed, F.raise_error(F.lit("exact_median: bracket missed the middle rank"))).otherwise(
         (F.col("__v1") + F.col("__v2")) / 2
     )
@@ -100,11 +96,10 @@ def exact_median(
 def fill_median(df: DataFrame, column: str, population: DataFrame | None = None) -> DataFrame:
     """Fill nulls of ``column`` with the exact median of ``population`` (default ``df``).
 
-    The one-row median joins every row by broadcast; types are kept.
+    The median is a scalar subquery: computed once, then a constant of the
+    row-local projection - no join; types are kept.
     """
     pop = df if population is None else population
-    med = exact_median(pop, column, alias="__fill")
+    med = exact_median(pop, column, alias="__fill").scalar()
     dtype = dict(df.dtypes)[column]
-    filled = F.coalesce(F.col(column), F.col("__fill").cast(dtype))
-    cols = [filled.alias(column) if c == column else F.col(c) for c in df.columns]
-    return df.crossJoin(F.broadcast(med)).select(*cols)
+    return df.withColumn(column, F.coalesce(F.col(column), med.cast(dtype)))

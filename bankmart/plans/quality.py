@@ -22,12 +22,15 @@ from bankmart.schemas import ENTITIES, KEYS
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """``total_<entity>`` row counts of the four tables, as one row."""
-    out = None
-    for e in ENTITIES:
-        one = row_count(tables[e], f"total_{e}")
-        out = one if out is None else out.crossJoin(one)
-    return out
+    """``total_<entity>`` row counts of the four tables, as one row.
+
+    The first count is the row; the others are scalar subqueries beside it.
+    """
+    first, *rest = ENTITIES
+    return row_count(tables[first], f"total_{first}").select(
+        f"total_{first}",
+        *[row_count(tables[e], "n").scalar().alias(f"total_{e}") for e in rest],
+    )
 
 
 def spot_check(df: DataFrame, n: int = 10) -> DataFrame:

@@ -21,7 +21,7 @@ source pipeline's reader did it: first.  Comparisons use unrounded values;
 rounding is last, as in the source.
 
 Each job is row-local work plus one shuffle (the dedupe) plus, for the two
-median fills, one small aggregate joined back by broadcast.
+median fills, one small aggregate used as a scalar subquery.
 """
 
 from __future__ import annotations
