@@ -46,46 +46,55 @@ def exact_median(
     df: DataFrame,
     column: str,
     alias: str = "median",
-    accuracy: int = 100_000,
-    margin: float = 0.0005,
+    accuracy: int = 200_000,
+    margin: float | None = None,
     small_bytes: int | None = SMALL_BYTES,
 ) -> DataFrame:
     """One-row DataFrame ``[alias]`` with the exact median of a numeric column.
 
     Nulls and NaN are ignored; no values give a null median.  Pass
     ``small_bytes=None`` to always use the bracketed (unbounded-size) path.
+
+    ``percentile_approx`` returns a value whose rank is within ``n/accuracy``
+    of the target; the bracket is ``margin`` (default ``5/accuracy``) either
+    side, so the histogram holds about ``2 * margin * n`` rows (5e-5 of the
+    rows by default) at most, deduplicated by value.
     """
+    margin = 5.0 / accuracy if margin is None else margin
     v = df.select(F.col(column).cast("double").alias(_V)).where(
         F.col(_V).isNotNull() & ~F.isnan(_V)
     )
     if small_bytes is not None and estimated_bytes(v) <= small_bytes:
         return v.agg(F.median(_V).alias(alias))
     bounds = v.agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx(_V, [0.5 - margin, 0.5 + margin], accuracy).alias("__q"),
+        F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx(_V, [0.5 - margin, 0.5 + margin], accuracy).alias("q"),
+        ).alias("__b")
     )
-    # Scalar subqueries over one aggregate (Spark merges them into one job).
-    n = bounds.select("__n").scalar()
-    lo = bounds.select(F.col("__q")[0]).scalar()
-    hi = bounds.select(F.col("__q")[1]).scalar()
-    r1 = ((n + 1) / 2).cast("long")
-    r2 = (n / 2).cast("long") + 1
+    # One scalar subquery (referenced once, carried as a column): the sketch
+    # aggregate runs once and no join is needed.
+    b = v.withColumn("__b", bounds.scalar())
+    lo, hi = F.col("__b.q")[0], F.col("__b.q")[1]
     # Rows below the bracket collapse onto one null key; rows above are dropped.
     hist = (
-        v.where(F.col(_V) <= hi)
+        b.where(F.col(_V) <= hi)
         .groupBy(F.when(F.col(_V) >= lo, F.col(_V)).alias(_KEY))
-        .agg(F.count(F.lit(1)).alias("__c"))
+        .agg(F.count(F.lit(1)).alias("__c"), F.max("__b.n").alias("__n"))
     )
     # The histogram holds only the bracket: a window over it is small.
     w = Window.orderBy(F.col(_KEY).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     cum = F.col("__cum")
+    n = F.col("__n")
+    r1 = ((n + 1) / 2).cast("long")
+    r2 = (n / 2).cast("long") + 1
     picked = hist.withColumn("__cum", F.sum("__c").over(w)).agg(
         F.min(F.when(cum >= r1, F.col(_KEY))).alias("__v1"),
         F.min(F.when(cum >= r2, F.col(_KEY))).alias("__v2"),
         F.max(F.when(F.col(_KEY).isNull() & (cum >= r1), F.lit(1))).alias("__miss_low"),
         F.max(cum).alias("__top"),
     )
-    missed = F.col("__miss_low").isNotNull() | (F.col("__top") < r2)
+    missed = F.col("__miss_low").isNotNull() | F.col("__v2").isNull()
     value = F.when(missed, F.raise_error(F.lit("exact_median: bracket missed the middle rank"))).otherwise(
         (F.col("__v1") + F.col("__v2")) / 2
     )

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.functions.numeric import money_sum, ratio_pct
+from bankmart.functions.numeric import money_sum, ratio_pct, scaled_units
 from bankmart.plans import gold
-from bankmart.functions.numeric import scaled_units
 
 
 def top_branches(transactions: DataFrame, branches: DataFrame, n: int = 10) -> DataFrame:
@@ -44,8 +43,9 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
 def channel_mix(transactions: DataFrame) -> DataFrame:
     """Transactions per payment channel and their share of all transactions.
 
-    The share's denominator is a window over the grouped result, which has
-    one row per channel spelling - a handful of rows in one partition.
+    The share's denominator is ``sum(count) over ()`` on the grouped result:
+    one row per channel spelling meets in one partition, and the
+    transactions are computed once (a scalar subquery would recompute them).
     """
     counts = transactions.groupBy("payment_channel").agg(F.count(F.lit(1)).alias("transaction_count"))
     total = F.sum("transaction_count").over(Window.partitionBy())

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from bankmart.plans import analytics, gold, quality
+from bankmart.plans.rules import RULE_QUERIES
 from bankmart.plans.silver import SILVER_JOBS
 from bankmart.schemas import ARRIVAL
 
@@ -69,6 +70,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     **{name: _mart(fn) for name, fn in analytics.QUERIES.items()},
     **{name: _bronze_check(name) for name in quality.BRONZE_CHECKS},
     **{name: _silver_check(name) for name in quality.SILVER_CHECKS},
+    **{name: (lambda fn: lambda L: fn(L.bronze))(fn) for name, fn in RULE_QUERIES.items()},
     # spot checks: the limit is the feature (rows-only comparison)
     "vb_peek_branches": lambda L: quality.spot_check(L.bronze["branches"].drop(ARRIVAL)),
     "vb_peek_customers": lambda L: quality.spot_check(L.bronze["customers"].drop(ARRIVAL)),

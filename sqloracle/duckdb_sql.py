@@ -405,6 +405,50 @@ def dirty_rates() -> str:
 ALL = ("branches", "customers", "transactions", "loans")
 
 
+def rule_effect(table: str, column: str, cleaned: str) -> str:
+    return (f"SELECT {column} AS {column}_raw, {cleaned} AS {column}, count(*) AS count "
+            f"FROM {table} GROUP BY ALL")
+
+
+def rule_sql() -> dict[str, str]:
+    s = with_layers
+    std = {
+        "branch_type": ("branches", vocab.BRANCH_TYPE_MAP),
+        "gender": ("customers", vocab.GENDER_MAP),
+        "kyc_status": ("customers", vocab.KYC_STATUS_MAP),
+        "payment_channel": ("transactions", vocab.PAYMENT_CHANNEL_MAP),
+        "transaction_status": ("transactions", vocab.TRANSACTION_STATUS_MAP),
+        "currency": ("transactions", vocab.CURRENCY_MAP),
+        "loan_status": ("loans", vocab.LOAN_STATUS_MAP),
+    }
+    out = {
+        f"rule_standardise_{c}": s(rule_effect(f"bronze_{e}", c, lookup(c, m)), bronze=(e,))
+        for c, (e, m) in std.items()
+    }
+    out.update({
+        "rule_keep_first_transactions": s(
+            "SELECT transaction_id, balance_after_transaction, branch_id, payment_channel FROM "
+            + first_by_key("bronze_transactions", "transaction_id", "transactions") + " t",
+            bronze=("transactions",)),
+        "rule_strip_branch_manager": s(rule_effect("bronze_branches", "branch_manager", strip("branch_manager")),
+                                       bronze=("branches",)),
+        "rule_strip_email": s(rule_effect("bronze_customers", "email", strip("email")), bronze=("customers",)),
+        "rule_to_number_income": s(rule_effect("bronze_customers", "annual_income", num("annual_income")),
+                                   bronze=("customers",)),
+        "rule_to_number_balance": s(
+            rule_effect("bronze_transactions", "balance_after_transaction", num("balance_after_transaction")),
+            bronze=("transactions",)),
+        "rule_median_values": s(
+            "SELECT (SELECT median(no_of_staff) FROM branches_first) AS median_no_of_staff, "
+            "(SELECT median(annual_income) FROM customers_first) AS median_annual_income",
+            silver=("branches", "customers")),
+        "rule_reject_post_codes": s(
+            f"SELECT post_code, {not_listed('post_code', vocab.INVALID_POSTCODES)} AS kept, count(*) AS count "
+            "FROM bronze_customers GROUP BY ALL", bronze=("customers",)),
+    })
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     s = with_layers
     out = {
@@ -470,4 +514,5 @@ def oracle_sql() -> dict[str, str]:
             scalar("silver_loans", "balance > principal_amount", "impossible_balance_count"),
             silver=("loans",)),
     }
+    out.update(rule_sql())
     return out
