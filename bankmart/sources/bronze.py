@@ -11,7 +11,10 @@
   whatever the partitioning.  ``monotonically_increasing_id`` alone is not
   file order across files; within one split it is the row order, and it is
   the same on a re-run of a lost task.
-* Files are read split by split (``spark.sql.files.maxPartitionBytes``), the
+* Quoted fields may hold newlines (pandas writes and reads them), so files
+  are parsed with ``multiLine``: a file is then one task, and a feed should
+  land as many files.  A feed known to have no quoted newline can be read
+  with ``splittable=True``: split by split (``maxPartitionBytes``), the
   distributed replacement of the source pipeline's 50,000-row chunks.
 """
 
@@ -30,7 +33,7 @@ CSV_OPTIONS = {
     "escape": '"',  # RFC 4180 doubled quotes, as written by pandas
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
-    "multiLine": "false",  # splittable; set True for feeds with quoted newlines
+    "multiLine": "true",  # quoted newlines parse as in the source reader
 }
 
 
@@ -39,9 +42,12 @@ def read_csv_text(
     paths: str | list[str],
     entity: str,
     options: dict[str, str] | None = None,
+    splittable: bool = False,
 ) -> DataFrame:
     """The raw CSV of ``entity`` as all-STRING columns plus ``_arrival``."""
     opts = dict(CSV_OPTIONS)
+    if splittable:
+        opts["multiLine"] = "false"
     if options:
         opts.update(options)
     raw = spark.read.schema(bronze_schema(entity)).options(**opts).csv(paths)
@@ -59,8 +65,9 @@ def read_bronze(
     entity: str,
     options: dict[str, str] | None = None,
     missing_tokens: list[str] | None = None,
+    splittable: bool = False,
 ) -> DataFrame:
     """Read a raw feed: all-STRING, missing-value spellings as null, ``_arrival``."""
     tokens = vocab.NULL_TOKENS if missing_tokens is None else missing_tokens
-    text = read_csv_text(spark, paths, entity, options)
+    text = read_csv_text(spark, paths, entity, options, splittable)
     return text.select(*[null_tokens(c, tokens).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)

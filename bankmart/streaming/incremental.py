@@ -52,6 +52,7 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, entity: str, files_per_tr
     raw = (
         spark.readStream.schema(bronze_schema(entity))
         .option("header", True).option("escape", '"').option("encoding", "UTF-8")
+        .option("multiLine", True)
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(raw_dir)
     )

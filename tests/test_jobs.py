@@ -155,3 +155,11 @@ def test_csv_text_is_lossless(spark, scratch):
     assert r.address == '12 "Old" Lane, Leeds' and r.annual_income == "12.0"
     t = write_csv(scratch, "t.csv", BRONZE_COLUMNS["transactions"], [_txn("T1", "1", cur="£")])
     assert read_bronze(spark, t, "transactions").first().currency == "£"
+
+
+def test_quoted_newline_is_one_field(spark, scratch):
+    path = write_csv(scratch, "b.csv", BRONZE_COLUMNS["branches"], [
+        _branch("BR1", "LS1 1AB", "5.0", manager="\tAnn Lee\n"), _branch("BR2", "LS1 1AB", "6.0")])
+    bronze = read_bronze(spark, path, "branches")
+    assert bronze.count() == 2
+    assert rows(silver_branches(bronze), "branch_id", "branch_manager") == [("BR1", "Ann Lee"), ("BR2", "Ann Lee")]
