@@ -27,8 +27,9 @@ def _col(c: str | Column) -> Column:
 
 
 def scaled_units(c: str | Column, decimals: int) -> Column:
-    """Value as an integer number of 10**-decimals units."""
-    return F.round(_col(c) * (10 ** decimals)).cast(_INT)
+    """Value as an integer number of 10**-decimals units (null for +-inf or a
+    value beyond 38 digits, instead of failing the job under ANSI mode)."""
+    return F.round(_col(c) * (10 ** decimals)).try_cast(_INT)
 
 
 def floor_div(a: Column, b: Column) -> Column:
@@ -58,8 +59,9 @@ def money_sum(c: str | Column, decimals: int = 2) -> Column:
 
 def mean_round(c: str | Column, scale: int, decimals: int = 2) -> Column:
     """Exact ``round(avg(c), scale)`` (half-up) of values with ``decimals`` decimals."""
-    total = F.sum(scaled_units(c, decimals))
-    n = F.count(_col(c))
+    units = scaled_units(c, decimals)
+    total = F.sum(units)
+    n = F.count(units)  # the same rows as the sum
     num = total * (10 ** max(scale - decimals, 0))
     den = n * (10 ** max(decimals - scale, 0))
     return div_half_up(num, den).cast("double") / (10 ** scale)

@@ -102,10 +102,11 @@ def silver_customers(bronze: DataFrame) -> DataFrame:
 
 def type_transactions(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "account_number": to_number("account_number").cast("bigint"),
+        # try_cast: an out-of-range number gives null instead of failing the job
+        "account_number": to_number("account_number").try_cast("bigint"),
         "transaction_date": to_date("transaction_date"),
         "balance_after_transaction": to_number("balance_after_transaction"),
-        "merchant_category_code": to_number("merchant_category_code").cast("int"),
+        "merchant_category_code": to_number("merchant_category_code").try_cast("int"),
         "fraud_flag": to_bool("fraud_flag"),
     })
 

@@ -133,3 +133,17 @@ def test_null_flags_retain_rows(spark):
 def test_whitespace_set_is_pythons():
     import sys
     assert set(C.WHITESPACE_CHARS) == {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()}
+
+
+def test_out_of_range_numbers_do_not_fail(spark, scratch):
+    from conftest import write_csv
+
+    from bankmart.plans.silver import silver_transactions
+    from bankmart.schemas import BRONZE_COLUMNS
+    from bankmart.sources.bronze import read_bronze
+
+    row = ["T1", "9e99", "C1", "BR1", "2024-01-01", "x", "inf", "GBP", "FPS", "1e12", "OK", "True"]
+    path = write_csv(scratch, "t.csv", BRONZE_COLUMNS["transactions"], [row])
+    r = silver_transactions(read_bronze(spark, path, "transactions")).first()
+    assert r.account_number is None and r.merchant_category_code is None
+    assert r.balance_after_transaction == float("inf")
