@@ -149,6 +149,48 @@ def managers_with_leading_space(branches: DataFrame, n: int = 5) -> DataFrame:
     return sample_rows(branches.select("branch_manager"), n, F.col("branch_manager").like(" %"))
 
 
+def silver_check_measures() -> dict[str, dict[str, F.Column]]:
+    """Per silver table: check name -> rows failing it (expected 0 after
+    cleaning, except null rates that were already null at source)."""
+    return {
+        "branches": {
+            "noncanonical_branch_type": F.count_if(_not_canonical("branch_type", vocab.BRANCH_TYPE_MAP)),
+            "null_no_of_staff": F.count_if(F.col("no_of_staff").isNull()),
+            "manager_leading_space": F.count_if(F.col("branch_manager").like(" %")),
+        },
+        "customers": {
+            "noncanonical_gender": F.count_if(_not_canonical("gender", vocab.GENDER_MAP)),
+            "noncanonical_kyc_status": F.count_if(_not_canonical("kyc_status", vocab.KYC_STATUS_MAP)),
+            "null_annual_income": F.count_if(F.col("annual_income").isNull()),
+        },
+        "transactions": {
+            "noncanonical_payment_channel": F.count_if(
+                _not_canonical("payment_channel", vocab.PAYMENT_CHANNEL_MAP)),
+            "noncanonical_currency": F.count_if(F.col("currency") != "GBP"),
+            "negative_balance": F.count_if(F.col("balance_after_transaction") < 0),
+        },
+        "loans": {
+            "noncanonical_loan_status": F.count_if(_not_canonical("loan_status", vocab.LOAN_STATUS_MAP)),
+            "null_interest_rate": F.count_if(F.col("interest_rate").isNull()),
+            "balance_above_principal": F.count_if(F.col("balance") > F.col("principal_amount")),
+        },
+    }
+
+
+def check_summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """All scalar silver checks: one aggregation pass per table, unpivoted to
+    ``(entity, check, failing_rows, total_rows)``."""
+    out = None
+    for entity, checks in silver_check_measures().items():
+        wide = tables[entity].agg(F.count(F.lit(1)).alias("total_rows"),
+                                  *[c.cast("bigint").alias(n) for n, c in checks.items()])
+        stack = "stack({}, {}) as (check, failing_rows)".format(
+            len(checks), ", ".join(f"'{n}', `{n}`" for n in checks))
+        long = wide.select(F.lit(entity).alias("entity"), "total_rows", F.expr(stack))
+        out = long if out is None else out.unionByName(long)
+    return out.select("entity", "check", "failing_rows", "total_rows")
+
+
 # Each check is a builder over a dict-like of tables, so asking for one check
 # builds (and reads) only the tables that check needs.
 SILVER_CHECKS = {
@@ -168,6 +210,7 @@ SILVER_CHECKS = {
     "vs_null_rate_count": lambda s: null_count(s["loans"], "interest_rate", "null_rate_count"),
     "vs_impossible_balance_count": lambda s: count_where(
         s["loans"], F.col("balance") > F.col("principal_amount"), "impossible_balance_count"),
+    "vs_check_summary": check_summary,
 }
 
 BRONZE_CHECKS = {

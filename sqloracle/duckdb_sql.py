@@ -405,6 +405,39 @@ def dirty_rates() -> str:
 ALL = ("branches", "customers", "transactions", "loans")
 
 
+SILVER_CHECKS: dict[str, list[tuple[str, str]]] = {
+    "branches": [
+        ("noncanonical_branch_type", f"branch_type NOT IN ({_CANON_TYPES})"),
+        ("null_no_of_staff", "no_of_staff IS NULL"),
+        ("manager_leading_space", "branch_manager LIKE ' %'"),
+    ],
+    "customers": [
+        ("noncanonical_gender", f"gender NOT IN ({_CANON_GENDER})"),
+        ("noncanonical_kyc_status", f"kyc_status NOT IN ({_CANON_KYC})"),
+        ("null_annual_income", "annual_income IS NULL"),
+    ],
+    "transactions": [
+        ("noncanonical_payment_channel", f"payment_channel NOT IN ({_CANON_CHANNEL})"),
+        ("noncanonical_currency", "currency <> 'GBP'"),
+        ("negative_balance", "balance_after_transaction < 0"),
+    ],
+    "loans": [
+        ("noncanonical_loan_status", f"loan_status NOT IN ({_CANON_LOAN})"),
+        ("null_interest_rate", "interest_rate IS NULL"),
+        ("balance_above_principal", "balance > principal_amount"),
+    ],
+}
+
+
+def check_summary() -> str:
+    parts = [
+        f"SELECT {q(e)} AS entity, {q(name)} AS \"check\", CAST({count_if(cond)} AS BIGINT) AS failing_rows, "
+        f"count(*) AS total_rows FROM silver_{e}"
+        for e, checks in SILVER_CHECKS.items() for name, cond in checks
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
 def rule_effect(table: str, column: str, cleaned: str) -> str:
     return (f"SELECT {column} AS {column}_raw, {cleaned} AS {column}, count(*) AS count "
             f"FROM {table} GROUP BY ALL")
@@ -513,6 +546,7 @@ def oracle_sql() -> dict[str, str]:
         "vs_impossible_balance_count": s(
             scalar("silver_loans", "balance > principal_amount", "impossible_balance_count"),
             silver=("loans",)),
+        "vs_check_summary": s(check_summary(), silver=ALL),
     }
     out.update(rule_sql())
     return out
