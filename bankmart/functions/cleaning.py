@@ -40,10 +40,15 @@ def _col(c: str | Column) -> Column:
 def strip_ws(c: str | Column) -> Column:
     """Remove leading and trailing whitespace (``str.strip`` semantics).
 
-    ``btrim`` with an explicit character set: a character scan from both
-    ends, no regular expression.
+    ``btrim`` with an explicit character set, no regular expression.  Most
+    values are not padded, so the first and last characters are tested
+    first and ``btrim`` (which copies and searches character by character)
+    only runs on padded values.
     """
-    return F.btrim(_col(c), F.lit(WHITESPACE_CHARS))
+    x = _col(c)
+    ws = F.lit(WHITESPACE_CHARS)
+    padded = ws.contains(F.substring(x, 1, 1)) | ws.contains(F.substring(x, -1, 1))
+    return F.when(padded, F.btrim(x, ws)).otherwise(x)
 
 
 def standardise(c: str | Column, mapping: Mapping[str, str]) -> Column:
