@@ -27,7 +27,6 @@ median fills, one small aggregate used as a scalar subquery.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bankmart import vocab
 from bankmart.functions.cleaning import (
