@@ -57,12 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a scratch one if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (tests, single machine) a fresh scratch folder
-    is made under the system temp dir.
+    is.  Only when it is unset on a local master (tests, one machine) a fresh
+    scratch folder is made; a cluster without the setting is an error, since
+    a machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         current = tempfile.mkdtemp(prefix="bankmart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

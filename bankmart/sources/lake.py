@@ -66,13 +66,17 @@ class Lake:
             names.append(name)
         return names
 
-    def export_csv(self, df: DataFrame, name: str, single_file: bool = True) -> str:
-        """Header CSV export of a (small) gold result for dashboards.
+    def export_csv(self, df: DataFrame, name: str, single_file_bytes: int = 64 * 1024 * 1024) -> str:
+        """Header CSV export of a gold result for dashboards.
 
-        Marts have one row per branch / segment / loan group, so one file is
-        fine; pass ``single_file=False`` for a large result.
+        A result whose optimizer size estimate (an over-estimate) is under
+        ``single_file_bytes`` - a mart has one row per branch / segment / loan
+        group - is written as one file; anything larger keeps its partitions,
+        so no big result funnels through one task.
         """
+        from bankmart.operators.impute import estimated_bytes
+
         out = f"{self.root.rstrip('/')}/exports/{name}"
-        data = df.coalesce(1) if single_file else df
+        data = df.coalesce(1) if estimated_bytes(df) <= single_file_bytes else df
         data.write.mode("overwrite").option("header", True).csv(out)
         return out
