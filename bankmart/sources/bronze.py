@@ -11,11 +11,13 @@
   whatever the partitioning.  ``monotonically_increasing_id`` alone is not
   file order across files; within one split it is the row order, and it is
   the same on a re-run of a lost task.
-* Quoted fields may hold newlines (pandas writes and reads them), so files
-  are parsed with ``multiLine``: a file is then one task, and a feed should
-  land as many files.  A feed known to have no quoted newline can be read
-  with ``splittable=True``: split by split (``maxPartitionBytes``), the
+* Quoted fields may hold newlines (pandas writes and reads them), so feeds
+  with free text (branches: names, managers; customers: names, addresses,
+  e-mails) are parsed with ``multiLine``: a file is then one task, and such a
+  feed should land as many files.  Feeds without free text (transactions,
+  loans - the big ones) are read split by split (``maxPartitionBytes``), the
   distributed replacement of the source pipeline's 50,000-row chunks.
+  ``splittable=`` overrides the per-feed default.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ from bankmart import vocab
 from bankmart.functions.cleaning import null_tokens
 from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS, bronze_schema
 
+# Feeds with no free-text column cannot hold a quoted newline: read them by split.
+SPLITTABLE = {"branches": False, "customers": False, "transactions": True, "loans": True}
+
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
@@ -42,11 +47,11 @@ def read_csv_text(
     paths: str | list[str],
     entity: str,
     options: dict[str, str] | None = None,
-    splittable: bool = False,
+    splittable: bool | None = None,
 ) -> DataFrame:
     """The raw CSV of ``entity`` as all-STRING columns plus ``_arrival``."""
     opts = dict(CSV_OPTIONS)
-    if splittable:
+    if SPLITTABLE[entity] if splittable is None else splittable:
         opts["multiLine"] = "false"
     if options:
         opts.update(options)
@@ -65,7 +70,7 @@ def read_bronze(
     entity: str,
     options: dict[str, str] | None = None,
     missing_tokens: list[str] | None = None,
-    splittable: bool = False,
+    splittable: bool | None = None,
 ) -> DataFrame:
     """Read a raw feed: all-STRING, missing-value spellings as null, ``_arrival``."""
     tokens = vocab.NULL_TOKENS if missing_tokens is None else missing_tokens

@@ -45,6 +45,7 @@ from bankmart.operators.impute import fill_median
 from bankmart.plans import silver as S
 from bankmart.schemas import BRONZE_COLUMNS, KEYS, bronze_schema, silver_columns
 from bankmart.session import ensure_checkpoint_dir
+from bankmart.sources.bronze import SPLITTABLE
 
 
 def read_raw_stream(spark: SparkSession, raw_dir: str, entity: str, files_per_trigger: int = 1) -> DataFrame:
@@ -52,7 +53,7 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, entity: str, files_per_tr
     raw = (
         spark.readStream.schema(bronze_schema(entity))
         .option("header", True).option("escape", '"').option("encoding", "UTF-8")
-        .option("multiLine", True)
+        .option("multiLine", not SPLITTABLE[entity])
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(raw_dir)
     )
