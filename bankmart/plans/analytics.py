@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.functions.numeric import money_sum, ratio_pct, scaled_units
+from bankmart.functions.numeric import ratio_pct, scaled_units
 from bankmart.plans import gold
 
 
@@ -86,4 +86,4 @@ QUERIES = {
 }
 
 __all__ = ["QUERIES", "channel_mix", "city_volumes", "customer_segments", "default_rates",
-           "loan_performance", "money_sum", "top_branches"]
+           "loan_performance", "top_branches"]

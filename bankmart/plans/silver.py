@@ -44,7 +44,7 @@ from bankmart.functions.cleaning import (
 from bankmart.operators.dedupe import dedupe_keep_first
 from bankmart.operators.filters import drop_missing, reject_values
 from bankmart.operators.impute import fill_median
-from bankmart.schemas import ARRIVAL, KEYS, TRANSACTION_FLAGS, silver_columns
+from bankmart.schemas import KEYS, TRANSACTION_FLAGS, silver_columns
 
 LOAN_NUMERIC = ["principal_amount", "interest_rate", "term_months", "monthly_payment", "balance"]
 
@@ -163,6 +163,6 @@ def silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 __all__ = [
-    "ARRIVAL", "SILVER_JOBS", "clean_customers_rows", "clean_transactions_rows", "silver",
+    "SILVER_JOBS", "clean_customers_rows", "clean_transactions_rows", "silver",
     "silver_branches", "silver_customers", "silver_loans", "silver_transactions",
 ]
