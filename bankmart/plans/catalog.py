@@ -70,6 +70,7 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     **{name: _mart(fn) for name, fn in analytics.QUERIES.items()},
     **{name: _bronze_check(name) for name in quality.BRONZE_CHECKS},
     **{name: _silver_check(name) for name in quality.SILVER_CHECKS},
+    "vs_reconciliation": lambda L: quality.reconciliation(L.bronze, _SilverView(L)),
     **{name: (lambda fn: lambda L: fn(L.bronze))(fn) for name, fn in RULE_QUERIES.items()},
     # spot checks: the limit is the feature (rows-only comparison)
     "vb_peek_branches": lambda L: quality.spot_check(L.bronze["branches"].drop(ARRIVAL)),

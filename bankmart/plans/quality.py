@@ -191,6 +191,18 @@ def check_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return out.select("entity", "check", "failing_rows", "total_rows")
 
 
+def reconciliation(bronze: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+    """Rows in (bronze), rows out (silver) and rows removed, per entity."""
+    out = None
+    for e in ENTITIES:
+        one = row_count(bronze[e], "bronze_rows").select(
+            F.lit(e).alias("entity"), "bronze_rows",
+            row_count(silver[e], "n").scalar().alias("silver_rows"),
+        ).withColumn("removed_rows", F.col("bronze_rows") - F.col("silver_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # Each check is a builder over a dict-like of tables, so asking for one check
 # builds (and reads) only the tables that check needs.
 SILVER_CHECKS = {

@@ -547,6 +547,10 @@ def oracle_sql() -> dict[str, str]:
             scalar("silver_loans", "balance > principal_amount", "impossible_balance_count"),
             silver=("loans",)),
         "vs_check_summary": s(check_summary(), silver=ALL),
+        "vs_reconciliation": s("\nUNION ALL\n".join(
+            f"SELECT {q(e)} AS entity, b.n AS bronze_rows, s.n AS silver_rows, b.n - s.n AS removed_rows "
+            f"FROM (SELECT count(*) AS n FROM bronze_{e}) b, (SELECT count(*) AS n FROM silver_{e}) s"
+            for e in ALL), silver=ALL),
     }
     out.update(rule_sql())
     return out
