@@ -12,7 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankmart import vocab
-from bankmart.functions.cleaning import not_in_keep_null, standardise, strip_ws, to_number
+from bankmart.functions.cleaning import (
+    not_in_keep_null,
+    null_if_greater,
+    null_if_negative,
+    null_outside,
+    standardise,
+    strip_ws,
+    to_number,
+)
 from bankmart.operators.dedupe import dedupe_keep_first
 from bankmart.operators.impute import exact_median
 from bankmart.plans import silver as S
@@ -59,6 +67,28 @@ def post_code_rejection(bronze: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def balance_above_principal(bronze: dict[str, DataFrame]) -> DataFrame:
+    """``(principal_amount_raw, balance_raw, balance, count)`` of the loan feed."""
+    loans = bronze["loans"]
+    return (
+        loans.select(
+            F.col("principal_amount").alias("principal_amount_raw"),
+            F.col("balance").alias("balance_raw"),
+            null_if_greater(to_number("balance"), to_number("principal_amount")).alias("balance"),
+        )
+        .groupBy("principal_amount_raw", "balance_raw", "balance")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+
+
+def issue_date_required(bronze: dict[str, DataFrame]) -> DataFrame:
+    """``(kept, count)``: loans kept / dropped by the issue-date rule."""
+    return (
+        bronze["loans"].select(F.col("issue_date").isNotNull().alias("kept"))
+        .groupBy("kept").agg(F.count(F.lit(1)).alias("count"))
+    )
+
+
 RULE_QUERIES = {
     "rule_keep_first_transactions": keep_first_transactions,
     "rule_standardise_branch_type": lambda b: standardise_effect(
@@ -81,6 +111,13 @@ RULE_QUERIES = {
         b["customers"], "annual_income", to_number("annual_income")),
     "rule_to_number_balance": lambda b: rule_effect(
         b["transactions"], "balance_after_transaction", to_number("balance_after_transaction")),
+    "rule_rate_range": lambda b: rule_effect(
+        b["loans"], "interest_rate", null_outside(to_number("interest_rate"), vocab.RATE_MIN, vocab.RATE_MAX)),
+    "rule_negative_balance": lambda b: rule_effect(
+        b["transactions"], "balance_after_transaction",
+        null_if_negative(to_number("balance_after_transaction"))),
+    "rule_balance_above_principal": balance_above_principal,
+    "rule_issue_date_required": issue_date_required,
     "rule_median_values": median_values,
     "rule_reject_post_codes": post_code_rejection,
 }

@@ -471,6 +471,22 @@ def rule_sql() -> dict[str, str]:
         "rule_to_number_balance": s(
             rule_effect("bronze_transactions", "balance_after_transaction", num("balance_after_transaction")),
             bronze=("transactions",)),
+        "rule_rate_range": s(rule_effect(
+            "bronze_loans", "interest_rate",
+            f"CASE WHEN {num('interest_rate')} < 0.03 OR {num('interest_rate')} > 0.30 THEN NULL "
+            f"ELSE {num('interest_rate')} END"), bronze=("loans",)),
+        "rule_negative_balance": s(rule_effect(
+            "bronze_transactions", "balance_after_transaction",
+            f"CASE WHEN {num('balance_after_transaction')} < 0 THEN NULL "
+            f"ELSE {num('balance_after_transaction')} END"), bronze=("transactions",)),
+        "rule_balance_above_principal": s(
+            "SELECT principal_amount AS principal_amount_raw, balance AS balance_raw, "
+            f"CASE WHEN {num('balance')} > {num('principal_amount')} THEN NULL ELSE {num('balance')} END "
+            "AS balance, count(*) AS count FROM bronze_loans GROUP BY ALL",
+            bronze=("loans",)),
+        "rule_issue_date_required": s(
+            "SELECT issue_date IS NOT NULL AS kept, count(*) AS count FROM bronze_loans GROUP BY ALL",
+            bronze=("loans",)),
         "rule_median_values": s(
             "SELECT (SELECT median(no_of_staff) FROM branches_first) AS median_no_of_staff, "
             "(SELECT median(annual_income) FROM customers_first) AS median_annual_income",
