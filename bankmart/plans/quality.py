@@ -119,13 +119,17 @@ def dirty_issue_measures() -> dict[str, dict[str, F.Column]]:
 def dirty_rates(bronze: dict[str, DataFrame]) -> DataFrame:
     """One row per (entity, issue): affected rows, total rows, rate in percent.
 
-    Duplicates are ``rows - distinct keys``.  Each feed is one ``agg`` whose
+    Duplicates are the rows keep-first removes: ``rows - distinct keys``,
+    with the null key counted as one key.  Each feed is one ``agg`` whose
     measures are unpivoted with ``stack``.
     """
     out = None
     for entity, issues in dirty_issue_measures().items():
         df = bronze[entity]
-        named = {"duplicate_rows": F.count(F.lit(1)) - F.count_distinct(KEYS[entity]), **issues}
+        key = F.col(KEYS[entity])
+        # rows the keep-first dedupe removes: null keys count as one key
+        has_null_key = F.max(F.when(key.isNull(), F.lit(1)).otherwise(F.lit(0)))
+        named = {"duplicate_rows": F.count(F.lit(1)) - F.count_distinct(key) - has_null_key, **issues}
         wide = df.agg(F.count(F.lit(1)).alias("total_rows"),
                       *[c.cast("bigint").alias(n) for n, c in named.items()])
         stack = "stack({}, {}) as (issue, affected_rows)".format(

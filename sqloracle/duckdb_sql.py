@@ -388,7 +388,9 @@ def dirty_rates() -> str:
     parts = []
     for entity, issues in DIRTY_ISSUES.items():
         for issue, cond in issues:
-            affected = (f"count(*) - count(DISTINCT {_KEYS[entity]})" if issue == "duplicate_rows"
+            affected = (f"count(*) - count(DISTINCT {_KEYS[entity]}) "
+                        f"- max(CASE WHEN {_KEYS[entity]} IS NULL THEN 1 ELSE 0 END)"
+                        if issue == "duplicate_rows"
                         else count_if(cond))
             parts.append(
                 f"SELECT {q(entity)} AS entity, {q(issue)} AS issue, CAST({affected} AS BIGINT) AS affected_rows, "

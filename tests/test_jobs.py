@@ -163,3 +163,19 @@ def test_quoted_newline_is_one_field(spark, scratch):
     bronze = read_bronze(spark, path, "branches")
     assert bronze.count() == 2
     assert rows(silver_branches(bronze), "branch_id", "branch_manager") == [("BR1", "Ann Lee"), ("BR2", "Ann Lee")]
+
+
+def test_dirty_rate_duplicates_count_null_key_once(spark, scratch):
+    from bankmart.plans.quality import dirty_rates
+    from bankmart.sources.bronze import read_bronze as rb
+
+    feeds = {}
+    for e, lines in {
+        "branches": [_branch("B1", "LS1 1AB", "1.0")],
+        "customers": [_customer("C1", "LS1 1AB", "1")],
+        "transactions": [_txn(None, "1"), _txn(None, "2"), _txn("T1", "3"), _txn("T1", "4")],
+        "loans": [_loan("L1", "0.05")],
+    }.items():
+        feeds[e] = rb(spark, write_csv(scratch, f"{e}.csv", BRONZE_COLUMNS[e], lines), e)
+    out = {(r.entity, r.issue): r.affected_rows for r in dirty_rates(feeds).collect()}
+    assert out[("transactions", "duplicate_rows")] == 2  # one null-key copy, one T1 copy
