@@ -27,8 +27,33 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.html_extract import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op8_warc": op8_warc,
+    "op9_html": op9_html,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+        d as (select page_id, octet_length(payload) as n, sha1(payload) as digest from p),
+        k as (select *, case when n >= 1000 then max(page_id) over (partition by digest) end as kept from d)
+        select page_id, n as payload_bytes, digest as payload_digest,
+               case when kept is distinct from page_id and kept is not null then 'revisit' else 'response' end as record_type,
+               case when kept is distinct from page_id then kept end as refers_to
+        from k""",
+}
