@@ -27,6 +27,21 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def held_out(doc_id: F.Column) -> F.Column:
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    from bankmart.llm.toxicity import THRESHOLD, score_toxicity
+
+    return score_toxicity(docs, labels, train_on=lambda c: ~held_out(c)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bankmart.llm.warc import round_trip
 
@@ -43,6 +58,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op6_toxicity": op6_toxicity,
     "op8_warc": op8_warc,
     "op9_html": op9_html,
 }
