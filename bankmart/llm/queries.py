@@ -42,6 +42,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.hnsw import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), lambda c: c % 20 == 0)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bankmart.llm.warc import round_trip
 
@@ -59,6 +65,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op6_toxicity": op6_toxicity,
+    "op7_hnsw": op7_hnsw,
     "op8_warc": op8_warc,
     "op9_html": op9_html,
 }
