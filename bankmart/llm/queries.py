@@ -27,6 +27,12 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -64,6 +70,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_hnsw": op7_hnsw,
     "op8_warc": op8_warc,
