@@ -27,6 +27,13 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents")).withColumns(
+        {c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bankmart.llm.decontaminate import leaks
 
@@ -68,13 +75,23 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.pii import BASE, find_pii, joined
+
+    return find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_hnsw": op7_hnsw,
     "op8_warc": op8_warc,
     "op9_html": op9_html,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
