@@ -27,6 +27,13 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.line_dedup import drop_repeated_lines
+
+    return drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.col("n_lines_").cast("long").alias("n_lines"), F.col("n_deleted_").cast("long").alias("n_deleted"), "text")
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bankmart.llm.licenses import scan_licenses
 
@@ -85,6 +92,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op3_line_dedup": op3_line_dedup,
     "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
