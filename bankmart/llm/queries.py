@@ -27,6 +27,12 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_pieces(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from bankmart.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85).withColumnRenamed("id", "doc_id")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from bankmart.llm.line_dedup import drop_repeated_lines
 
@@ -92,6 +98,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
+    "op2_ngram_join": op2_ngram_join,
     "op3_line_dedup": op3_line_dedup,
     "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
