@@ -96,6 +96,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_ngram_join": op2_ngram_join,
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_html": op9_html,
     "op10_pii": op10_pii,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {

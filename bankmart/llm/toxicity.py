@@ -270,20 +270,31 @@ def _labelled_evidence(shared):
     return measure
 
 
+def _score(evidence: Evidence, fit: tuple[float, ...], text: str | None) -> float:
+    top, more = evidence.strongest(text)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, fit[0] + fit[1] * top + fit[2] * more))))
+
+
 def _scorer(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(_restorer(shared), shared.value[1])
-        a, b, c = shared.value[2]
         for got in batches:
-            scores = []
-            for text in got.column(1):
-                top, more = evidence.strongest(text.as_py())
-                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * top + c * more)))))
+            scores = [_score(evidence, shared.value[2], text.as_py()) for text in got.column(1)]
             yield pa.RecordBatch.from_arrays([got.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     return score
 
 
+def _keeper(shared, text_at: int, threshold: float):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evidence = Evidence(_restorer(shared), shared.value[1])
+        for got in batches:
+            clean = [i for i, text in enumerate(got.column(text_at)) if _score(evidence, shared.value[2], text.as_py()) < threshold]
+            yield got.take(pa.array(clean, pa.int64()))
+
+    return keep
+
+
 def _weights(rows: list, cells: dict[int, int], use: tuple[int, ...]) -> dict[str, float]:
     """Log-odds of the entries less a standard error, from the halves in
     ``use``; a cell is 2 * label + half."""
@@ -317,10 +328,11 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
         use.pop(1 + int(w[1:].argmin()))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_id_col: str = "doc_id", label_col: str = "toxic", train_on=None,
-                   labelled: int = LABELLED, features: int = FEATURES) -> DataFrame:
-    """doc_id and score of every row of ``docs``.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 label_id_col: str = "doc_id", label_col: str = "toxic", train_on=None,
+                 labelled: int = LABELLED, features: int = FEATURES):
+    """A broadcast of trigram counts, evidence and fit; in its place the score
+    of every text where the labels don't have both kinds.
 
     ``train_on(column)`` says from which document ids labels may be learnt.
     """
@@ -344,7 +356,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     cell_n = {r.cell: r.n for r in train.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = cell_n.get(2, 0) + cell_n.get(3, 0), cell_n.get(0, 0) + cell_n.get(1, 0)
     if not pos or not neg:
-        return slim.select("doc_id", F.lit(float(pos > 0)).alias("score"))
+        return float(pos > 0)
     counted = train.mapInArrow(_count_features(lm), "feature string, cell int, n long").groupBy("feature").agg(
         *[F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in range(4)])
     p, q = F.col("n2") + F.col("n3"), F.col("n0") + F.col("n1")
@@ -354,5 +366,22 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     halves = [_weights(rows, cell_n, (1,)), _weights(rows, cell_n, (0,))]  # for a row, evidence from the other half
     measured = train.mapInArrow(_labelled_evidence(sc.broadcast((counts, halves))), "top double, next double, cell int").collect()
     fit = _logistic(np.array([[r.top, r.next] for r in measured]), np.array([r.cell >> 1 for r in measured], float))
-    final = sc.broadcast((counts, _weights(rows, cell_n, (0, 1)), fit))
-    return slim.mapInArrow(_scorer(final), "doc_id long, score double")
+    return sc.broadcast((counts, _weights(rows, cell_n, (0, 1)), fit))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """doc_id and score of every row of ``docs``; ``how`` as for ``fit_toxicity``."""
+    model = fit_toxicity(docs, labels, id_col, text_col, **how)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if isinstance(model, float):
+        return slim.select("doc_id", F.lit(model).alias("score"))
+    return slim.mapInArrow(_scorer(model), "doc_id long, score double")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  threshold: float = THRESHOLD, **how) -> DataFrame:
+    """The rows of ``docs``, all columns, that score under ``threshold``."""
+    model = fit_toxicity(docs, labels, id_col, text_col, **how)
+    if isinstance(model, float):
+        return docs.where(F.lit(model < threshold))
+    return docs.mapInArrow(_keeper(model, docs.columns.index(text_col), threshold), docs.schema)
