@@ -1,15 +1,19 @@
 """Exact gold-layer arithmetic.
 
 Floating-point sums depend on the order of addition, which on a cluster
-depends on partitioning.  Gold figures are therefore computed on scaled
-integers (cents, basis points) and rounded half away from zero with exact
-integer division, so a total or a mean is the same on 8 or 8,000 tasks:
+depends on partitioning.  Amounts are therefore added as decimals with
+``DECIMALS`` decimals (the decimal text of the double, not its binary tail)
+and rounded once, at the end, half away from zero with exact integer
+division, so a total or a mean is the same on 8 or 8,000 tasks:
 
-* ``money_sum``     - exact sum of an amount with ``decimals`` decimals;
-* ``mean_round``    - exact mean, rounded half-up to ``scale`` decimals;
+* ``money_sum``     - sum, rounded half-up to ``scale`` decimals;
+* ``mean_round``    - mean, rounded half-up to ``scale`` decimals;
 * ``ratio_pct``     - ``100 * num / den`` rounded half-up to ``scale`` decimals;
 * ``round_half_up`` - one value rounded half-up through a decimal.
 
+Infinities (and NaN) are carried as floating-point addition carries them; a
+finite value of ``LARGEST`` or more does not fit and fails the query.
+
 All are aggregate-safe ``Column`` expressions returning DOUBLE, the output
 type of the source queries.
 """
@@ -26,10 +30,28 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def scaled_units(c: str | Column, decimals: int) -> Column:
-    """Value as an integer number of 10**-decimals units (null for +-inf or a
-    value beyond 38 digits, instead of failing the job under ANSI mode)."""
-    return F.round(_col(c) * (10 ** decimals)).try_cast(_INT)
+DECIMALS = 12
+LARGEST = 1e16
+_VALUE = f"decimal(30,{DECIMALS})"
+
+
+def _is_finite(x: Column) -> Column:
+    return F.abs(x) < float("inf")  # false for NaN, which Spark orders above infinity
+
+
+def exact_units(c: str | Column) -> Column:
+    """A finite value as an integer number of 10**-DECIMALS units; null for
+    null and for what is not finite."""
+    x = _col(c).cast("double")
+    too_large = F.raise_error(F.concat(F.lit("amount does not fit exact arithmetic: "), x.cast("string")))
+    units = (x.cast(_VALUE) * F.lit(10 ** DECIMALS).cast("decimal(13,0)")).cast("decimal(28,0)")
+    return F.when(F.abs(x) < LARGEST, units).when(_is_finite(x), too_large.cast("decimal(28,0)"))
+
+
+def not_finite(c: str | Column) -> Column:
+    """The infinities and NaN of a column, null for any other value."""
+    x = _col(c).cast("double")
+    return F.when(~_is_finite(x), x)
 
 
 def floor_div(a: Column, b: Column) -> Column:
@@ -52,19 +74,22 @@ def div_half_up(num: Column, den: Column) -> Column:
     return F.when(den <= 0, F.lit(None)).when(num >= 0, up).otherwise(down)
 
 
-def money_sum(c: str | Column, decimals: int = 2) -> Column:
-    """Exact sum of a fixed-decimal amount, as DOUBLE (null if no values)."""
-    return F.sum(scaled_units(c, decimals)).cast("double") / (10 ** decimals)
+def rounded_total(units: Column, odd: Column, scale: int = 2) -> Column:
+    """A total from its sums of ``exact_units`` and ``not_finite``."""
+    rounded = div_half_up(units, F.lit(10 ** (DECIMALS - scale))).cast("double") / (10 ** scale)
+    return F.coalesce(odd, rounded)
+
+
+def money_sum(c: str | Column, scale: int = 2) -> Column:
+    """Exact ``round(sum(c), scale)`` (half-up), as DOUBLE (null if no values)."""
+    return rounded_total(F.sum(exact_units(c)), F.sum(not_finite(c)), scale)
 
 
-def mean_round(c: str | Column, scale: int, decimals: int = 2) -> Column:
-    """Exact ``round(avg(c), scale)`` (half-up) of values with ``decimals`` decimals."""
-    units = scaled_units(c, decimals)
-    total = F.sum(units)
-    n = F.count(units)  # the same rows as the sum
-    num = total * (10 ** max(scale - decimals, 0))
-    den = n * (10 ** max(decimals - scale, 0))
-    return div_half_up(num, den).cast("double") / (10 ** scale)
+def mean_round(c: str | Column, scale: int) -> Column:
+    """Exact ``round(avg(c), scale)`` (half-up), as DOUBLE (null if no values)."""
+    units = exact_units(c)
+    den = F.count(units) * (10 ** (DECIMALS - scale))  # the same rows as the sum
+    return F.coalesce(F.sum(not_finite(c)), div_half_up(F.sum(units), den).cast("double") / (10 ** scale))
 
 
 def ratio_pct(num: str | Column, den: str | Column, scale: int = 2) -> Column:
@@ -74,4 +99,6 @@ def ratio_pct(num: str | Column, den: str | Column, scale: int = 2) -> Column:
 
 def round_half_up(c: str | Column, scale: int) -> Column:
     """One value rounded half away from zero at ``scale`` decimals, as DOUBLE."""
-    return F.round(_col(c).cast("decimal(38,10)"), scale).cast("double")
+    x = _col(c)
+    rounded = div_half_up(exact_units(x), F.lit(10 ** (DECIMALS - scale))).cast("double") / (10 ** scale)
+    return F.coalesce(not_finite(x), rounded)

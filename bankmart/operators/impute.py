@@ -1,114 +1,75 @@
 """Exact global median and median fill (pandas ``s.fillna(s.median())``).
 
-``F.median`` is exact but merges a value->count map of every distinct value
-into one task: unbounded for a continuous column at scale.  The exact median
-here never puts more than a thin slice of the data in one place:
-
-1. one aggregate gives the count ``n`` and an approximate bracket
-   ``[lo, hi]`` around the middle rank (``percentile_approx``: a bounded
-   sketch per task, merged once);
-2. a distributed ``groupBy(value)`` over the rows in the bracket (plus one
-   row that counts everything below ``lo``) gives a histogram of the
-   bracket only - about ``2 * margin`` of the rows, deduplicated by value;
-3. a running count over that small histogram finds the values of rank
-   ``(n+1) div 2`` and ``n div 2 + 1``; the median is their mean, as pandas.
-
-The result is a lazy one-row DataFrame (used as a scalar subquery by
-``fill_median``), so no value goes through the driver.  If the sketch ever missed the middle rank the
-query fails loudly (``raise_error``) instead of returning a wrong value.
-
-Size check: when the optimizer's size estimate of the population (file sizes
-scaled through the plan - an over-estimate) is under ``small_bytes``, the
-value map of ``F.median`` is bounded by it, and the single exact aggregate
-is used instead (fewer stages for a small table).  Both paths return the
-mean of the two middle values, bit for bit.
+``F.median`` merges a value->count map of every distinct value into one task:
+unbounded for a continuous column at scale.  Here the column is reduced to a
+staged histogram (one row per distinct value, combined before the shuffle),
+and the middle ranks are found by narrowing a range: each step counts the
+histogram in ``BINS`` equal parts of the range - at most ``BINS + 1`` rows
+reach the driver - and goes on with the parts that hold the middle ranks,
+until those hold few distinct values.  No task and no step ever sees more
+than one partition of the histogram or ``BINS`` counts, at every size; there
+is no approximation and one path for all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_V = "__median_v"
-_KEY = "__median_key"
-
-
-SMALL_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (no job is run)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size if isinstance(size, int) else int(size.toString())
-
-
-def exact_median(
-    df: DataFrame,
-    column: str,
-    alias: str = "median",
-    accuracy: int = 200_000,
-    margin: float | None = None,
-    small_bytes: int | None = SMALL_BYTES,
-) -> DataFrame:
+from bankmart.session import staged
+
+BINS = 4096
+
+
+def _middle(hist: DataFrame) -> float | None:
+    """Median of a staged histogram (v, n) without nulls and NaN."""
+    finite = F.abs("v") < float("inf")
+    whole = hist.agg(F.sum("n").alias("n"), F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi"),
+                     F.sum(F.when(F.col("v") == float("-inf"), F.col("n"))).alias("below")).first()
+    if not whole.n:
+        return None
+    ranks = [(whole.n + 1) // 2, whole.n // 2 + 1]
+    below, lo, hi = whole.below or 0, whole.lo, whole.hi
+    found: list[float] = []
+    for rank in ranks:
+        if rank <= (whole.below or 0):
+            found.append(float("-inf"))
+    if lo is not None:
+        part = hist.where(finite)
+        while True:
+            at = F.floor(F.least((F.col("v") - lo) / F.lit((hi / BINS - lo / BINS) or 1.0), F.lit(BINS - 1.0)))
+            # the least value has a part of its own, so every step narrows the range
+            bins = (part.groupBy(F.when(F.col("v") == lo, -1).otherwise(at).alias("b"))
+                    .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect())
+            held, at_rank = below, []
+            for b in bins:
+                at_rank += [(rank, b, held) for rank in ranks if held < rank <= held + b.n]
+                held += b.n
+            if all(b.lo == b.hi for _, b, _ in at_rank) or not at_rank:
+                found += [b.lo for _, b, _ in at_rank]
+                break
+            below = at_rank[0][2]
+            lo, hi = at_rank[0][1].lo, at_rank[-1][1].hi
+            part = part.where(F.col("v").between(lo, hi))
+            ranks = [rank for rank, _, _ in at_rank]
+    found += [float("inf")] * (2 - len(found))
+    return (found[0] + found[1]) / 2
+
+
+def exact_median(df: DataFrame, column: str, alias: str = "median") -> DataFrame:
     """One-row DataFrame ``[alias]`` with the exact median of a numeric column.
 
-    Nulls and NaN are ignored; no values give a null median.  Pass
-    ``small_bytes=None`` to always use the bracketed (unbounded-size) path.
-
-    ``percentile_approx`` returns a value whose rank is within ``n/accuracy``
-    of the target; the bracket is ``margin`` (default ``5/accuracy``) either
-    side, so the histogram holds about ``2 * margin * n`` rows (5e-5 of the
-    rows by default) at most, deduplicated by value.
+    Nulls and NaN are ignored; no values give a null median; with infinities
+    in the middle it is the mean that floating point gives.
     """
-    margin = 5.0 / accuracy if margin is None else margin
-    v = df.select(F.col(column).cast("double").alias(_V)).where(
-        F.col(_V).isNotNull() & ~F.isnan(_V)
-    )
-    if small_bytes is not None and estimated_bytes(v) <= small_bytes:
-        return v.agg(F.median(_V).alias(alias))
-    bounds = v.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(_V, [0.5 - margin, 0.5 + margin], accuracy).alias("q"),
-        ).alias("__b")
-    )
-    # One scalar subquery (referenced once, carried as a column): the sketch
-    # aggregate runs once and no join is needed.
-    b = v.withColumn("__b", bounds.scalar())
-    lo, hi = F.col("__b.q")[0], F.col("__b.q")[1]
-    # Rows below the bracket collapse onto one null key; rows above are dropped.
-    hist = (
-        b.where(F.col(_V) <= hi)
-        .groupBy(F.when(F.col(_V) >= lo, F.col(_V)).alias(_KEY))
-        .agg(F.count(F.lit(1)).alias("__c"), F.max("__b.n").alias("__n"))
-    )
-    # The histogram holds only the bracket: a window over it is small.
-    w = Window.orderBy(F.col(_KEY).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = F.col("__cum")
-    n = F.col("__n")
-    r1 = ((n + 1) / 2).cast("long")
-    r2 = (n / 2).cast("long") + 1
-    picked = hist.withColumn("__cum", F.sum("__c").over(w)).agg(
-        F.min(F.when(cum >= r1, F.col(_KEY))).alias("__v1"),
-        F.min(F.when(cum >= r2, F.col(_KEY))).alias("__v2"),
-        F.max(F.when(F.col(_KEY).isNull() & (cum >= r1), F.lit(1))).alias("__miss_low"),
-        F.max(cum).alias("__top"),
-    )
-    missed = F.col("__miss_low").isNotNull() | F.col("__v2").isNull()
-    value = F.when(missed, F.raise_error(F.lit("exact_median: bracket missed the middle rank"))).otherwise(
-        (F.col("__v1") + F.col("__v2")) / 2
-    )
-    # No values at all: the aggregate over an empty histogram is a null row.
-    return picked.select(F.when(F.col("__top").isNull(), F.lit(None).cast("double")).otherwise(value).alias(alias))
+    v = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    value = _middle(staged(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "histogram"))
+    return df.sparkSession.range(1).select(F.lit(value).cast("double").alias(alias))
 
 
 def fill_median(df: DataFrame, column: str, population: DataFrame | None = None) -> DataFrame:
-    """Fill nulls of ``column`` with the exact median of ``population`` (default ``df``).
-
-    The median is a scalar subquery: computed once, then a constant of the
-    row-local projection - no join; types are kept.
-    """
+    """Fill nulls of ``column`` with the exact median of ``population`` (default ``df``)."""
     pop = df if population is None else population
-    med = exact_median(pop, column, alias="__fill").scalar()
+    value = exact_median(pop, column).first()[0]
     dtype = dict(df.dtypes)[column]
-    return df.withColumn(column, F.coalesce(F.col(column), med.cast(dtype)))
+    return df.withColumn(column, F.coalesce(F.col(column), F.lit(value).cast(dtype)))

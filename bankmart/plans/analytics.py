@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankmart.functions.numeric import ratio_pct, scaled_units
+from bankmart.functions.numeric import exact_units, not_finite, ratio_pct, rounded_total
 from bankmart.plans import gold
+from bankmart.session import staged
 
 
 def top_branches(transactions: DataFrame, branches: DataFrame, n: int = 10) -> DataFrame:
@@ -18,7 +19,7 @@ def top_branches(transactions: DataFrame, branches: DataFrame, n: int = 10) -> D
 def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
     """Transactions and total balance per branch city.
 
-    Pre-aggregated per branch id (exact integer cents), joined to the branch
+    Pre-aggregated per branch id (exact units), joined to the branch
     table, then summed per city: the fact table is never joined row by row.
     """
     per_branch = (
@@ -26,7 +27,8 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
         .groupBy("branch_id")
         .agg(
             F.count("transaction_id").alias("n"),
-            F.sum(scaled_units("balance_after_transaction", 2)).alias("cents"),
+            F.sum(exact_units("balance_after_transaction")).alias("units"),
+            F.sum(not_finite("balance_after_transaction")).alias("odd"),
         )
     )
     return (
@@ -34,7 +36,7 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
         .groupBy("branch_city")
         .agg(
             F.sum("n").alias("total_transactions"),
-            (F.sum("cents").cast("double") / 100).alias("total_value"),
+            rounded_total(F.sum("units"), F.sum("odd")).alias("total_value"),
         )
         .orderBy(F.col("total_transactions").desc(), F.col("branch_city").asc_nulls_last())
     )
@@ -43,12 +45,11 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
 def channel_mix(transactions: DataFrame) -> DataFrame:
     """Transactions per payment channel and their share of all transactions.
 
-    The share's denominator is ``sum(count) over ()`` on the grouped result:
-    one row per channel spelling meets in one partition, and the
-    transactions are computed once (a scalar subquery would recompute them).
+    The grouped result is staged, so the denominator is a one-row total of
+    it beside each row: no window, and the transactions are computed once.
     """
-    counts = transactions.groupBy("payment_channel").agg(F.count(F.lit(1)).alias("transaction_count"))
-    total = F.sum("transaction_count").over(Window.partitionBy())
+    counts = staged(transactions.groupBy("payment_channel").agg(F.count(F.lit(1)).alias("transaction_count")), "channels")
+    total = counts.agg(F.sum("transaction_count")).scalar()
     return (
         counts.withColumn("pct_of_total", ratio_pct(F.col("transaction_count"), total, 2))
         .orderBy(F.col("transaction_count").desc(), F.col("payment_channel").asc_nulls_last())

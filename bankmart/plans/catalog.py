@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from bankmart.plans import analytics, gold, quality
 from bankmart.plans.rules import RULE_QUERIES
 from bankmart.plans.silver import SILVER_JOBS
-from bankmart.schemas import ARRIVAL
+from bankmart.session import staged
 
 Bronze = dict[str, DataFrame]
 
@@ -30,6 +30,10 @@ class Layers:
             self._silver[entity] = SILVER_JOBS[entity](self.bronze[entity])
         return self._silver[entity]
 
+    def activity(self) -> DataFrame:
+        """What the branch mart reads of silver transactions, staged: it reads them twice."""
+        return staged(self.silver("transactions").select(*gold.ACTIVITY_COLUMNS), "activity")
+
     def all_silver(self) -> dict[str, DataFrame]:
         return {e: self.silver(e) for e in self.bronze}
 
@@ -68,15 +72,17 @@ QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_loans": _silver("loans"),
     **{name: _mart(fn) for name, fn in gold.MARTS.items()},
     **{name: _mart(fn) for name, fn in analytics.QUERIES.items()},
+    "gold_branch_performance": lambda L: gold.branch_performance(L.activity(), L.silver("branches")),
+    "top_branches": lambda L: analytics.top_branches(L.activity(), L.silver("branches")),
     **{name: _bronze_check(name) for name in quality.BRONZE_CHECKS},
     **{name: _silver_check(name) for name in quality.SILVER_CHECKS},
     "vs_reconciliation": lambda L: quality.reconciliation(L.bronze, _SilverView(L)),
     **{name: (lambda fn: lambda L: fn(L.bronze))(fn) for name, fn in RULE_QUERIES.items()},
-    # spot checks: the limit is the feature (rows-only comparison)
-    "vb_peek_branches": lambda L: quality.spot_check(L.bronze["branches"].drop(ARRIVAL)),
-    "vb_peek_customers": lambda L: quality.spot_check(L.bronze["customers"].drop(ARRIVAL)),
-    "vb_peek_transactions": lambda L: quality.spot_check(L.bronze["transactions"].drop(ARRIVAL)),
-    "vb_peek_loans": lambda L: quality.spot_check(L.bronze["loans"].drop(ARRIVAL)),
+    # spot checks: the limit is the feature
+    "vb_peek_branches": lambda L: quality.spot_check(L.bronze["branches"]),
+    "vb_peek_customers": lambda L: quality.spot_check(L.bronze["customers"]),
+    "vb_peek_transactions": lambda L: quality.spot_check(L.bronze["transactions"]),
+    "vb_peek_loans": lambda L: quality.spot_check(L.bronze["loans"]),
     "vb_null_staff_sample": lambda L: quality.null_staff_sample(L.bronze["branches"]),
 }
 

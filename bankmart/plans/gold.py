@@ -1,17 +1,19 @@
 """Gold marts over silver tables.
 
-``branch_performance`` pre-aggregates transactions by ``branch_id`` (partial
-aggregation on the map side, so the shuffle carries one row per branch per
-task however skewed the branches are) and joins the per-branch result to
-the branch table.  Silver branches are unique on ``branch_id``, so this is
-the same as joining first and grouping by the five branch columns, without
-ever shipping the fact table through a join.  The join itself is between
-two small inputs (one row per branch id on each side); Spark broadcasts the
-smaller side only when its measured size is under the broadcast threshold
-(AQE re-checks at runtime), otherwise it sort-merges.
-
-Money figures are exact (integer cents) and rounded half-up, see
-``functions.numeric``.
+``branch_performance`` aggregates transactions by ``branch_id`` and joins the
+per-branch result to the branch table.  The plain measures are partial
+aggregates: their shuffle carries one row per branch per task however skewed
+the branches are.  The distinct customers are an aggregate of their own over
+two columns (one row per branch and customer per task, narrow), joined by
+branch; in one aggregate every measure would travel with each such pair.
+Silver branches are unique on ``branch_id``, so this is the same as joining
+first and grouping by the five branch columns, without ever shipping the
+fact table through a join.  The joins are between small inputs (one row per
+branch id on each side); Spark broadcasts the smaller side only when its
+measured size is under the broadcast threshold (AQE re-checks at runtime),
+otherwise it sort-merges.
+
+Money figures are exact and rounded half-up once, see ``functions.numeric``.
 """
 
 from __future__ import annotations
@@ -36,7 +38,6 @@ def branch_activity(transactions: DataFrame) -> DataFrame:
     status = F.col("transaction_status")
     aggs = [
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         money_sum("balance_after_transaction").alias("total_value"),
         mean_round("balance_after_transaction", 2).alias("avg_transaction_value"),
     ]
@@ -45,7 +46,17 @@ def branch_activity(transactions: DataFrame) -> DataFrame:
         _count_when(status == "Completed").alias("completed_count"),
         _count_when(status == "Failed").alias("failed_count"),
     ]
-    return t.groupBy("branch_id").agg(*aggs)
+    plain = t.groupBy("branch_id").agg(*aggs)
+    customers = (
+        t.select("branch_id", "customer_id").distinct()
+        .groupBy("branch_id").agg(F.count("customer_id").alias("unique_customers"))
+    )
+    first, *rest = [c for c in plain.columns if c != "branch_id"]
+    return plain.join(customers, "branch_id").select("branch_id", first, "unique_customers", *rest)
+
+
+#: What ``branch_activity`` reads of the transactions.
+ACTIVITY_COLUMNS = ["transaction_id", "branch_id", "customer_id", "balance_after_transaction", "payment_channel", "transaction_status"]
 
 
 def branch_performance(transactions: DataFrame, branches: DataFrame) -> DataFrame:

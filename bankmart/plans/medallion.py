@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from bankmart.plans import analytics, gold
 from bankmart.plans.silver import SILVER_JOBS
 from bankmart.schemas import ENTITIES
-from bankmart.sources.bronze import read_bronze
+from bankmart.sources.bronze import bronze_view, read_csv_text
 from bankmart.sources.lake import Lake
 
 MART_TABLES = {
@@ -25,12 +25,13 @@ MART_TABLES = {
 
 
 def land_bronze(lake: Lake, entities: Iterable[str] = ENTITIES) -> dict[str, int]:
-    """``raw/<entity>`` CSV files -> ``bronze/<entity>`` Parquet, exactly as read.
+    """``raw/<entity>`` CSV files -> ``bronze/<entity>`` Parquet, untouched.
 
-    All columns stay text; ``_arrival`` (file, split, position) is kept so
-    the silver dedupe still knows the file order.
+    All cells stay the text they were, missing-value spellings included;
+    ``_arrival`` (file, split, position) keeps the file order for the silver
+    dedupe and ``_corrupt`` the raw text of malformed rows.
     """
-    return {e: lake.write(read_bronze(lake.spark, lake.path("raw", e), e), "bronze", e) for e in entities}
+    return {e: lake.write(read_csv_text(lake.spark, lake.path("raw", e), e), "bronze", e) for e in entities}
 
 
 def build_silver(lake: Lake, bronze: dict[str, DataFrame] | None = None,
@@ -38,7 +39,7 @@ def build_silver(lake: Lake, bronze: dict[str, DataFrame] | None = None,
     """Silver jobs over the bronze tables (or the given feeds); rows written."""
     counts = {}
     for e in entities:
-        src = bronze[e] if bronze is not None else lake.table("bronze", e)
+        src = bronze[e] if bronze is not None else bronze_view(lake.table("bronze", e), e)
         counts[e] = lake.write(SILVER_JOBS[e](src), "silver", e)
     return counts
 
@@ -61,4 +62,4 @@ def business_queries(lake: Lake) -> dict[str, DataFrame]:
 
 def export_marts(lake: Lake) -> dict[str, str]:
     """Header CSV exports of the marts for dashboards."""
-    return {name: lake.export_csv(lake.table("gold", name), name) for name in MART_TABLES}
+    return {name: lake.export_csv(lake.table("gold", name), name, files=1) for name in MART_TABLES}

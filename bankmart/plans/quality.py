@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from bankmart import vocab
 from bankmart.functions.cleaning import strip_ws, to_number
 from bankmart.functions.numeric import ratio_pct
-from bankmart.operators.profile import count_where, measures, row_count, sample_rows, value_counts
-from bankmart.schemas import ENTITIES, KEYS
+from bankmart.operators.profile import count_where, null_profile, row_count, sample_rows, value_counts
+from bankmart.schemas import ARRIVAL, ENTITIES, KEYS
 
 # ---------------------------------------------------------------- bronze ----
 
@@ -34,14 +34,20 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def spot_check(df: DataFrame, n: int = 10) -> DataFrame:
-    """``select * limit n`` - a sample for reading by eye."""
-    return sample_rows(df, n)
+    """The first ``n`` rows in arrival order, for reading by eye (a top-k)."""
+    return sample_rows(df.orderBy(ARRIVAL), n).drop(ARRIVAL)
 
 
 def null_staff_sample(branches: DataFrame, n: int = 5) -> DataFrame:
     return sample_rows(branches.select("no_of_staff"), n, F.col("no_of_staff").isNull())
 
 
+def padded_managers(branches: DataFrame, n: int = 5) -> DataFrame:
+    """The first raw managers (by branch, then arrival) with a leading space."""
+    rows = branches.select("branch_id", "branch_manager", ARRIVAL).orderBy("branch_id", ARRIVAL)
+    return sample_rows(rows, n, F.col("branch_manager").like(" %")).select("branch_id", "branch_manager")
+
+
 def branch_type_counts(branches: DataFrame) -> DataFrame:
     return value_counts(branches, "branch_type")
 
@@ -56,14 +62,10 @@ def payment_channel_counts(transactions: DataFrame) -> DataFrame:
 
 def transaction_nulls(transactions: DataFrame) -> DataFrame:
     """One pass: rows, non-null customer ids and three null counts."""
-    n = F.count(F.lit(1))
-    return measures(transactions, {
-        "total_rows": n,
-        "non_null_customer_id": F.count("customer_id"),
-        "null_customer_id": n - F.count("customer_id"),
-        "null_account_number": n - F.count("account_number"),
-        "null_branch_id": n - F.count("branch_id"),
-    })
+    profile = null_profile(transactions, ["customer_id", "account_number", "branch_id"])
+    return profile.select(
+        "total_rows", (F.col("total_rows") - F.col("null_customer_id")).alias("non_null_customer_id"),
+        "null_customer_id", "null_account_number", "null_branch_id")
 
 
 def invalid_rate_counts(loans_bronze: DataFrame) -> DataFrame:
@@ -120,20 +122,21 @@ def dirty_rates(bronze: dict[str, DataFrame]) -> DataFrame:
     """One row per (entity, issue): affected rows, total rows, rate in percent.
 
     Duplicates are the rows keep-first removes: ``rows - distinct keys``,
-    with the null key counted as one key.  Each feed is one ``agg`` whose
-    measures are unpivoted with ``stack``.
+    with the null key counted as one key.  The issues of a feed are one plain
+    ``agg`` (one row per task in its shuffle) whose measures are unpivoted
+    with ``stack``; the distinct keys are a narrow aggregate of their own.
     """
     out = None
     for entity, issues in dirty_issue_measures().items():
         df = bronze[entity]
-        key = F.col(KEYS[entity])
-        # rows the keep-first dedupe removes: null keys count as one key
-        has_null_key = F.max(F.when(key.isNull(), F.lit(1)).otherwise(F.lit(0)))
-        named = {"duplicate_rows": F.count(F.lit(1)) - F.count_distinct(key) - has_null_key, **issues}
+        # rows the keep-first dedupe keeps: null keys count as one key
+        keys = df.select(KEYS[entity]).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
         wide = df.agg(F.count(F.lit(1)).alias("total_rows"),
-                      *[c.cast("bigint").alias(n) for n, c in named.items()])
+                      *[c.cast("bigint").alias(n) for n, c in issues.items()])
+        wide = wide.withColumn("duplicate_rows", F.col("total_rows") - keys)
+        names = ["duplicate_rows", *issues]
         stack = "stack({}, {}) as (issue, affected_rows)".format(
-            len(named), ", ".join(f"'{n}', `{n}`" for n in named))
+            len(names), ", ".join(f"'{n}', `{n}`" for n in names))
         long = wide.select(F.lit(entity).alias("entity"), "total_rows", F.expr(stack))
         out = long if out is None else out.unionByName(long)
     return out.select(
@@ -237,6 +240,7 @@ BRONZE_CHECKS = {
     "vb_transaction_nulls": lambda b: transaction_nulls(b["transactions"]),
     "vb_invalid_rate_counts": lambda b: invalid_rate_counts(b["loans"]),
     "vb_dirty_rates": dirty_rates,
+    "vb_manager_leading_space": lambda b: padded_managers(b["branches"]),
 }
 
 

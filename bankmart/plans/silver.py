@@ -20,8 +20,9 @@ Typing (text -> number / date / boolean) is row-local, so it is done where the
 source pipeline's reader did it: first.  Comparisons use unrounded values;
 rounding is last, as in the source.
 
-Each job is row-local work plus one shuffle (the dedupe) plus, for the two
-median fills, one small aggregate used as a scalar subquery.
+Each job is row-local work plus one shuffle (the dedupe).  The jobs with a
+median fill stage the deduplicated table: the median is taken from its one
+column and the fill reads it again, so the dedupe runs once.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ from bankmart.operators.dedupe import dedupe_keep_first
 from bankmart.operators.filters import drop_missing, reject_values
 from bankmart.operators.impute import fill_median
 from bankmart.schemas import KEYS, TRANSACTION_FLAGS, silver_columns
+from bankmart.session import staged
 
 LOAN_NUMERIC = ["principal_amount", "interest_rate", "term_months", "monthly_payment", "balance"]
 
@@ -70,7 +72,7 @@ def silver_branches(bronze: DataFrame) -> DataFrame:
             "branch_manager": strip_ws("branch_manager"),
         })
     )
-    filled = fill_median(deduped, "no_of_staff")
+    filled = fill_median(staged(deduped, "branches-first"), "no_of_staff")
     return _finish(reject_values(filled, "post_code", vocab.INVALID_POSTCODES), "branches")
 
 
@@ -82,7 +84,7 @@ def type_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_customers_rows(bronze: DataFrame) -> DataFrame:
-    """The row-local part of the customer job (works on a stream too)."""
+    """The row-local part of the customer job."""
     return (
         bronze.transform(type_customers)
         .withColumns({
@@ -96,7 +98,7 @@ def clean_customers_rows(bronze: DataFrame) -> DataFrame:
 
 def silver_customers(bronze: DataFrame) -> DataFrame:
     deduped = clean_customers_rows(bronze).transform(dedupe_keep_first, KEYS["customers"])
-    return _finish(fill_median(deduped, "annual_income"), "customers")
+    return _finish(fill_median(staged(deduped, "customers-first"), "annual_income"), "customers")
 
 
 def type_transactions(df: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def type_transactions(df: DataFrame) -> DataFrame:
 
 
 def clean_transactions_rows(bronze: DataFrame) -> DataFrame:
-    """The row-local part of the transaction job (works on a stream too)."""
+    """The row-local part of the transaction job."""
     flagged = bronze.withColumns({flag: is_missing(src) for flag, src in TRANSACTION_FLAGS.items()})
     return (
         flagged.transform(type_transactions)

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans shuffles at runtime
 # (coalesces small partitions, splits skewed join partitions); the UI is off
@@ -44,7 +45,6 @@ def local_session(
     conf["spark.driver.memory"] = os.environ.get("BANKMART_DRIVER_MEMORY", "8g")
     if extra_conf:
         conf.update(extra_conf)
-    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bankmart-ckpt-"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -70,3 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
+
+
+def staged(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: what several
+    parts of a query read is computed once, and outlives any executor."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,6 @@
-"""Sources and sinks: raw CSV feeds, lake layout, derived test feeds."""
+"""Sources and sinks: raw CSV feeds and the lake layout."""
 
-from bankmart.sources.bronze import read_bronze, read_csv_text
+from bankmart.sources.bronze import CORRUPT, bronze_view, corrupt_counts, read_bronze, read_csv_text
 from bankmart.sources.lake import Lake
-from bankmart.sources.tpch_feed import FEEDS, feed, feeds
 
-__all__ = ["FEEDS", "Lake", "feed", "feeds", "read_bronze", "read_csv_text"]
+__all__ = ["CORRUPT", "Lake", "bronze_view", "corrupt_counts", "read_bronze", "read_csv_text"]

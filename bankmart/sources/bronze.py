@@ -1,36 +1,40 @@
 """Bronze: raw CSV feeds read losslessly as text.
 
-* Every column is STRING (``schemas.bronze_schema``): a typed CSV read turns a
+* Every column is STRING: a typed CSV read turns a
   bad cell into null silently, and ``cast`` under ANSI mode throws on it.
   Typing is a silver rule (``try_cast`` behind a numeric gate).
-* The missing-value spellings of the source pipeline's reader (``NA``,
-  ``N/A``, ``null``, ``NaN``, empty, ...) become null here, once, for every
+* ``read_csv_text`` leaves cells untouched and is what lands in bronze; the
+  missing-value spellings of the source pipeline's reader (``NA``, ``N/A``,
+  ``null``, ``NaN``, empty, ...) become null in ``bronze_view``, for every
   column.
 * ``_arrival`` records the feed order - (file path, split start, position) -
   so the silver keep-first dedupe keeps the first copy *in file order*,
   whatever the partitioning.  ``monotonically_increasing_id`` alone is not
   file order across files; within one split it is the row order, and it is
   the same on a re-run of a lost task.
-* Quoted fields may hold newlines (pandas writes and reads them), so feeds
-  with free text (branches: names, managers; customers: names, addresses,
-  e-mails) are parsed with ``multiLine``: a file is then one task, and such a
-  feed should land as many files.  Feeds without free text (transactions,
-  loans - the big ones) are read split by split (``maxPartitionBytes``), the
-  distributed replacement of the source pipeline's 50,000-row chunks.
-  ``splittable=`` overrides the per-feed default.
+* Columns are found by the header's names, in any order; a missing column or
+  a file whose header differs from the first one's fails the read.
+* A row with more or fewer cells than the header is kept, parsed as far as it
+  goes, with its raw text in ``_corrupt``; ``corrupt_counts`` counts them.
+* Feeds are read split by split (``maxPartitionBytes``), the distributed
+  replacement of the source pipeline's 50,000-row chunks.  A quoted field that
+  holds a newline then breaks into short rows, which ``_corrupt`` shows;
+  ``splittable=False`` parses such a feed whole files at a time.  Branch
+  managers may hold one, so that small feed is read so by default.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bankmart import vocab
 from bankmart.functions.cleaning import null_tokens
-from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS, bronze_schema
+from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS
 
-# Feeds with no free-text column cannot hold a quoted newline: read them by split.
-SPLITTABLE = {"branches": False, "customers": False, "transactions": True, "loans": True}
+SPLITTABLE = {"branches": False, "customers": True, "transactions": True, "loans": True}
+CORRUPT = "_corrupt"
 
 CSV_OPTIONS = {
     "header": "true",
@@ -39,6 +43,9 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
     "encoding": "UTF-8",
     "multiLine": "true",  # quoted newlines parse as in the source reader
+    "enforceSchema": "false",  # every file's header must be the first one's
+    "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",  # cells of every row are counted, whatever a query reads
 }
 
 
@@ -49,19 +56,42 @@ def read_csv_text(
     options: dict[str, str] | None = None,
     splittable: bool | None = None,
 ) -> DataFrame:
-    """The raw CSV of ``entity`` as all-STRING columns plus ``_arrival``."""
+    """The raw CSV of ``entity``, untouched: all-STRING columns, ``_arrival``, ``_corrupt``."""
     opts = dict(CSV_OPTIONS)
     if SPLITTABLE[entity] if splittable is None else splittable:
         opts["multiLine"] = "false"
     if options:
         opts.update(options)
-    raw = spark.read.schema(bronze_schema(entity)).options(**opts).csv(paths)
+    header = spark.read.options(**opts | {"enforceSchema": "true"}).csv(paths).columns
+    missing = [c for c in BRONZE_COLUMNS[entity] if c not in header]
+    if missing:
+        raise ValueError(f"{entity}: the header lacks {', '.join(missing)}")
+    schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
+    raw = spark.read.schema(schema).options(**opts).csv(paths)
     arrival = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
     )
-    return raw.select(*BRONZE_COLUMNS[entity], arrival.alias(ARRIVAL))
+    return raw.select(*BRONZE_COLUMNS[entity], arrival.alias(ARRIVAL), CORRUPT)
+
+
+def bronze_view(text: DataFrame, entity: str, missing_tokens: list[str] | None = None) -> DataFrame:
+    """Untouched text with missing-value spellings as null, and ``_arrival``."""
+    tokens = vocab.NULL_TOKENS if missing_tokens is None else missing_tokens
+    return text.select(*[null_tokens(c, tokens).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)
+
+
+def corrupt_counts(text: dict[str, DataFrame]) -> DataFrame:
+    """Rows, and rows with more or fewer cells than their header, per feed."""
+    out = None
+    for entity, df in text.items():
+        # Spark refuses to read the corrupt column alone, so a cell goes with it
+        raw = F.concat(CORRUPT, F.coalesce(df.columns[0], F.lit("")))
+        one = df.agg(F.count(F.lit(1)).alias("total_rows"), F.count(raw).alias("corrupt_rows"))
+        one = one.select(F.lit(entity).alias("entity"), "total_rows", "corrupt_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def read_bronze(
@@ -73,6 +103,4 @@ def read_bronze(
     splittable: bool | None = None,
 ) -> DataFrame:
     """Read a raw feed: all-STRING, missing-value spellings as null, ``_arrival``."""
-    tokens = vocab.NULL_TOKENS if missing_tokens is None else missing_tokens
-    text = read_csv_text(spark, paths, entity, options, splittable)
-    return text.select(*[null_tokens(c, tokens).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)
+    return bronze_view(read_csv_text(spark, paths, entity, options, splittable), entity, missing_tokens)

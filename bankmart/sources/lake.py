@@ -2,8 +2,9 @@
 
 One ``root`` argument replaces the source pipeline's bucket and key strings;
 it can be any Hadoop file system URI.  Writes are whole-table overwrites of
-Parquet directories (the source pipeline overwrote one object per table),
-which are atomic per job commit and safe to re-run after a lost executor.
+Parquet directories (the source pipeline overwrote one object per table).
+A lost executor's tasks run again within the job; an overwrite that fails as
+a whole must be run again, as Spark removes the old files first.
 Written tables are also the lineage cut between layers: gold reads silver
 from storage, never through the silver job's plan.
 """
@@ -66,17 +67,13 @@ class Lake:
             names.append(name)
         return names
 
-    def export_csv(self, df: DataFrame, name: str, single_file_bytes: int = 64 * 1024 * 1024) -> str:
+    def export_csv(self, df: DataFrame, name: str, files: int | None = None) -> str:
         """Header CSV export of a gold result for dashboards.
 
-        A result whose optimizer size estimate (an over-estimate) is under
-        ``single_file_bytes`` - a mart has one row per branch / segment / loan
-        group - is written as one file; anything larger keeps its partitions,
-        so no big result funnels through one task.
+        ``files`` asks for so many files (1 suits a mart, with its row per
+        branch, segment or loan group); by default every partition is one.
         """
-        from bankmart.operators.impute import estimated_bytes
-
         out = f"{self.root.rstrip('/')}/exports/{name}"
-        data = df.coalesce(1) if estimated_bytes(df) <= single_file_bytes else df
+        data = df.coalesce(files) if files else df
         data.write.mode("overwrite").option("header", True).csv(out)
         return out

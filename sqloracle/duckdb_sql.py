@@ -1,20 +1,17 @@
 """Hand-written DuckDB SQL for every registered query (the correctness oracle).
 
-The oracle shares only two things with the library: the feed derivation
-(``bankmart.sources.tpch_feed`` - the *input*, the same text on both sides)
-and the fixed values (synonym maps, rejected post codes).  Every pipeline
-rule - missing-value spellings, keep-first dedupe, typing, synonym lookup,
-stripping, medians, rejection, marts, rounding - is written again here as
-plain SQL, independent of the Spark code.
-
-Output columns carry the same names and types as the Spark results: counts
-BIGINT, money and means DOUBLE, dates DATE, flags BOOLEAN.
+The oracle shares with the library the derived feeds' text (the *input*), the
+fixed values (synonym maps, rejected post codes, channel groups) and the
+column names of the results.  The rules are written here as SQL of their
+own: amounts are added as the decimal text of each value and rounded once.
+
+Counts are BIGINT, money and means DOUBLE, dates DATE, flags BOOLEAN.
 """
 
 from __future__ import annotations
 
 from bankmart import vocab
-from bankmart.sources.tpch_feed import FEEDS_DUCKDB as FEEDS
+from testfeeds.tpch_feed import FEEDS_DUCKDB as FEEDS
 
 # --------------------------------------------------------------------------
 # scalar helpers (SQL text)
@@ -56,12 +53,17 @@ def not_listed(x: str, values: list[str]) -> str:
     return f"({x} IS NULL OR {x} NOT IN ({', '.join(q(v) for v in values)}))"
 
 
-def cents(x: str) -> str:
-    return f"CAST(round({x} * 100) AS BIGINT)"
+def decimal(x: str) -> str:
+    """The decimal that the text of a finite double shows."""
+    return f"CAST(CAST(CASE WHEN isfinite({x}) THEN {x} END AS VARCHAR) AS DECIMAL(38,12))"
+
+
+def odd(x: str) -> str:
+    return f"sum(CASE WHEN NOT isfinite({x}) THEN {x} END)"
 
 
-def money_sum(x: str) -> str:
-    return f"CAST(sum({cents(x)}) AS DOUBLE) / 100"
+def rounded_sum(x: str) -> str:
+    return f"coalesce({odd(x)}, CAST(round(sum({decimal(x)}), 2) AS DOUBLE))"
 
 
 def half_up(num_sql: str, den_sql: str) -> str:
@@ -71,13 +73,11 @@ def half_up(num_sql: str, den_sql: str) -> str:
             f"ELSE -((-2 * ({num_sql}) + ({den_sql})) // (2 * ({den_sql}))) END)")
 
 
-def mean_round(x: str, scale: int) -> str:
-    """Exact avg of a 2-decimal column rounded half-up to ``scale``."""
-    total = f"CAST(sum({cents(x)}) AS HUGEINT)"
-    n = f"CAST(count({x}) AS HUGEINT)"
-    num_sql = f"{total} * {10 ** max(scale - 2, 0)}"
-    den_sql = f"{n} * {10 ** max(2 - scale, 0)}"
-    return f"(CAST({half_up(num_sql, den_sql)} AS DOUBLE) / {10 ** scale})"
+def rounded_mean(x: str, scale: int) -> str:
+    """Exact avg rounded half-up to ``scale``; a decimal's text without its point counts 1e-12."""
+    units = f"CAST(replace(CAST(sum({decimal(x)}) AS VARCHAR), '.', '') AS HUGEINT)"
+    n = f"CAST(count({decimal(x)}) AS HUGEINT) * {10 ** (12 - scale)}"
+    return f"coalesce({odd(x)}, CAST({half_up(units, n)} AS DOUBLE) / {10 ** scale})"
 
 
 def pct(num_sql: str, den_sql: str, scale: int = 2) -> str:
@@ -87,7 +87,7 @@ def pct(num_sql: str, den_sql: str, scale: int = 2) -> str:
 
 
 def round2(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), 2) AS DOUBLE)"
+    return f"CASE WHEN isfinite({x}) THEN CAST(round({decimal(x)}, 2) AS DOUBLE) ELSE {x} END"
 
 
 def count_if(cond: str) -> str:
@@ -233,66 +233,89 @@ def with_layers(body: str, bronze: tuple[str, ...] = (), silver: tuple[str, ...]
 # gold and business queries
 # --------------------------------------------------------------------------
 
-_CHANNEL_COUNTS = ",\n    ".join(
-    f"{count_if('payment_channel IN (' + ', '.join(q(c) for c in chs) + ')')} AS {name}"
-    for name, chs in vocab.CHANNEL_GROUPS.items()
-)
+def _among(column: str, values) -> str:
+    return f"{column} IN ({', '.join(q(v) for v in values)})"
+
+
+# counts by branch, channel and status first; the marts add them up
+_TALLY = """
+tally AS (
+  SELECT branch_id AS id, payment_channel AS via, transaction_status AS ended, count(transaction_id) AS n
+  FROM silver_transactions WHERE branch_id IS NOT NULL GROUP BY ALL
+)"""
+
+_MONEY = f"""
+money AS (
+  SELECT branch_id AS id, sum({decimal('balance_after_transaction')}) AS exact,
+         {odd('balance_after_transaction')} AS odd,
+         {rounded_mean('balance_after_transaction', 2)} AS mean
+  FROM silver_transactions GROUP BY branch_id
+)"""
+
+_FACES = """
+faces AS (
+  SELECT id, count(*) AS n
+  FROM (SELECT DISTINCT branch_id AS id, customer_id FROM silver_transactions WHERE customer_id IS NOT NULL)
+  GROUP BY id
+)"""
+
+_BRANCH_COUNTS = ", ".join(
+    [f"CAST(coalesce(sum(n) FILTER (WHERE {_among('via', chs)}), 0) AS BIGINT) AS {name}" for name, chs in vocab.CHANNEL_GROUPS.items()]
+    + [f"CAST(coalesce(sum(n) FILTER (WHERE ended = {q(v)}), 0) AS BIGINT) AS {v.lower()}_count" for v in ("Completed", "Failed")])
+_COUNT_NAMES = ", ".join([*vocab.CHANNEL_GROUPS, "completed_count", "failed_count"])
 
 BRANCH_PERFORMANCE = f"""
-SELECT b.branch_name, b.branch_id, b.branch_city, b.branch_type, b.opening_date,
-    count(t.transaction_id) AS total_transactions,
-    count(DISTINCT t.customer_id) AS unique_customers,
-    {money_sum('t.balance_after_transaction')} AS total_value,
-    {mean_round('t.balance_after_transaction', 2)} AS avg_transaction_value,
-    {_CHANNEL_COUNTS.replace('payment_channel', 't.payment_channel')},
-    {count_if("t.transaction_status = 'Completed'")} AS completed_count,
-    {count_if("t.transaction_status = 'Failed'")} AS failed_count
-FROM silver_transactions t
-JOIN silver_branches b ON t.branch_id = b.branch_id
-GROUP BY b.branch_id, b.branch_name, b.branch_city, b.branch_type, b.opening_date
+, {_TALLY.strip()}, {_MONEY.strip()}, {_FACES.strip()},
+totals AS (SELECT id, CAST(sum(n) AS BIGINT) AS total_transactions, {_BRANCH_COUNTS} FROM tally GROUP BY id)
+SELECT branch_name, branch_id, branch_city, branch_type, opening_date, total_transactions,
+       coalesce(faces.n, 0) AS unique_customers,
+       coalesce(odd, CAST(round(exact, 2) AS DOUBLE)) AS total_value, mean AS avg_transaction_value, {_COUNT_NAMES}
+FROM totals JOIN money USING (id) LEFT JOIN faces USING (id) JOIN silver_branches ON branch_id = id
 """
 
+CITY_VOLUMES = f"""
+, {_TALLY.strip()}, {_MONEY.strip()},
+moves AS (SELECT id, sum(n) AS n FROM tally GROUP BY id)
+SELECT branch_city, CAST(sum(n) AS BIGINT) AS total_transactions,
+       coalesce(sum(odd), CAST(round(sum(exact), 2) AS DOUBLE)) AS total_value
+FROM silver_branches, moves, money WHERE branch_id = moves.id AND branch_id = money.id
+GROUP BY branch_city
+"""
+
+# people grouped with every attribute that is counted, then summed per segment
 CUSTOMER_SEGMENTS = f"""
-SELECT risk_rating, employment_status, city,
-    count(cust_id) AS total_customers,
-    {mean_round('annual_income', 2)} AS avg_annual_income,
-    {round2('min(annual_income)')} AS min_annual_income,
-    {round2('max(annual_income)')} AS max_annual_income,
-    {count_if("kyc_status = 'Verified'")} AS verified_count,
-    {count_if("kyc_status = 'Pending'")} AS pending_count,
-    {count_if("gender = 'Male'")} AS male_count,
-    {count_if("gender = 'Female'")} AS female_count
-FROM silver_customers
-GROUP BY risk_rating, employment_status, city
-ORDER BY risk_rating, employment_status, total_customers DESC
+, kinds AS (
+  SELECT risk_rating AS r, employment_status AS e, city AS c, kyc_status AS k, gender AS g, count(cust_id) AS n
+  FROM silver_customers GROUP BY ALL
+),
+incomes AS (
+  SELECT risk_rating AS r, employment_status AS e, city AS c, {rounded_mean('annual_income', 2)} AS mean,
+         min(annual_income) AS lo, max(annual_income) AS hi
+  FROM silver_customers GROUP BY ALL
+)
+SELECT i.r AS risk_rating, i.e AS employment_status, i.c AS city, CAST(sum(n) AS BIGINT) AS total_customers,
+       any_value(mean) AS avg_annual_income, {round2('any_value(lo)')} AS min_annual_income,
+       {round2('any_value(hi)')} AS max_annual_income,
+       {', '.join(f"CAST(coalesce(sum(n) FILTER (WHERE {col} = {q(v)}), 0) AS BIGINT) AS {v.lower()}_count"
+                  for col, v in (('k', 'Verified'), ('k', 'Pending'), ('g', 'Male'), ('g', 'Female')))}
+FROM incomes i JOIN kinds k ON (i.r, i.e, i.c) IS NOT DISTINCT FROM (k.r, k.e, k.c)
+GROUP BY i.r, i.e, i.c
 """
 
 
 def loan_performance_sql(rate_scale: int, term_scale: int) -> str:
+    def of(column: str, alias: str, scale: int) -> str:
+        return f"{rounded_mean(column, scale)} AS {alias}"
+
+    means = ", ".join([of("principal_amount", "avg_principal", 2), of("interest_rate", "avg_interest_rate", rate_scale),
+                       of("monthly_payment", "avg_monthly_payment", 2), of("term_months", "avg_term_months", term_scale)])
     return f"""
-SELECT loan_type, loan_status, default_flag,
-    count(loan_id) AS total_loans,
-    {mean_round('principal_amount', 2)} AS avg_principal,
-    {mean_round('interest_rate', rate_scale)} AS avg_interest_rate,
-    {mean_round('monthly_payment', 2)} AS avg_monthly_payment,
-    {money_sum('balance')} AS total_remaining_balance,
-    {mean_round('term_months', term_scale)} AS avg_term_months
-FROM silver_loans
-GROUP BY loan_type, loan_status, default_flag
-ORDER BY loan_type, total_loans DESC
+SELECT {means}, {rounded_sum('balance')} AS total_remaining_balance, count(loan_id) AS total_loans,
+       loan_status, default_flag, loan_type
+FROM silver_loans GROUP BY ALL
 """
 
 
-CITY_VOLUMES = f"""
-SELECT b.branch_city,
-    count(t.transaction_id) AS total_transactions,
-    {money_sum('t.balance_after_transaction')} AS total_value
-FROM silver_transactions t
-JOIN silver_branches b ON t.branch_id = b.branch_id
-GROUP BY b.branch_city
-ORDER BY total_transactions DESC
-"""
-
 CHANNEL_MIX = f"""
 SELECT payment_channel, transaction_count,
     {pct('transaction_count', 'sum(transaction_count) OVER ()')} AS pct_of_total
@@ -528,11 +551,21 @@ def oracle_sql() -> dict[str, str]:
         "vb_payment_channel_counts": s(value_counts("bronze_transactions", "payment_channel"),
                                        bronze=("transactions",)),
         "vb_transaction_nulls": s(
-            "SELECT count(*) AS total_rows, count(customer_id) AS non_null_customer_id, "
-            "count(*) - count(customer_id) AS null_customer_id, "
-            "count(*) - count(account_number) AS null_account_number, "
-            "count(*) - count(branch_id) AS null_branch_id FROM bronze_transactions",
+            # a long list of the cells that are there, then one row of it
+            ", cells AS (SELECT unnest(['customer', 'account', 'branch']) AS cell, "
+            "unnest([customer_id, account_number, branch_id]) AS held FROM bronze_transactions), "
+            "tally AS (SELECT cell, count(*) AS n, count(*) FILTER (WHERE held IS NULL) AS gone FROM cells GROUP BY cell) "
+            "SELECT max(n) AS total_rows, max(n - gone) FILTER (WHERE cell = 'customer') AS non_null_customer_id, "
+            + ", ".join(f"max(gone) FILTER (WHERE cell = '{c}') AS null_{c}_{x}"
+                        for c, x in (("customer", "id"), ("account", "number"), ("branch", "id"))) + " FROM tally",
             bronze=("transactions",)),
+        "vb_manager_leading_space": s(
+            "SELECT branch_id, branch_manager FROM bronze_branches WHERE starts_with(branch_manager, ' ') "
+            f"ORDER BY branch_id, {arrival_order('branches')} LIMIT 5", bronze=("branches",)),
+        **{f"vb_peek_{e}": s(f"SELECT {', '.join(c for c, _ in FEEDS[e].columns)} FROM bronze_{e} "
+                             f"ORDER BY {arrival_order(e)} LIMIT 10", bronze=(e,)) for e in ALL},
+        "vb_null_staff_sample": s("SELECT no_of_staff FROM bronze_branches WHERE no_of_staff IS NULL LIMIT 5",
+                                  bronze=("branches",)),
         "vb_invalid_rate_counts": s(
             value_counts("bronze_loans", "interest_rate",
                          where=f"{num('interest_rate')} < 0.03 OR {num('interest_rate')} > 0.30",
@@ -545,7 +578,7 @@ def oracle_sql() -> dict[str, str]:
         "vs_null_staff_count": s(scalar("silver_branches", "no_of_staff IS NULL", "null_staff_count"),
                                  silver=("branches",)),
         "vs_manager_leading_space": s(
-            "SELECT branch_manager FROM silver_branches WHERE branch_manager LIKE ' %' LIMIT 5",
+            "SELECT branch_manager FROM silver_branches WHERE ord(branch_manager) = 32",
             silver=("branches",)),
         "vs_gender_counts": s(value_counts("silver_customers", "gender"), silver=("customers",)),
         "vs_kyc_status_counts": s(value_counts("silver_customers", "kyc_status"), silver=("customers",)),
@@ -571,4 +604,12 @@ def oracle_sql() -> dict[str, str]:
             for e in ALL), silver=ALL),
     }
     out.update(rule_sql())
+    out.update({f"csv_bronze_{e}": s(f"SELECT {', '.join(c for c, _ in FEEDS[e].columns)} FROM bronze_{e}", bronze=(e,)) for e in ALL})
+    out.update({f"lake_silver_{e}": out[f"silver_{e}"] for e in ALL})
+    out["csv_corrupt_rows"] = s(" UNION ALL ".join(
+        f"SELECT '{e}' AS entity, count(*) AS total_rows, CAST(0 AS BIGINT) AS corrupt_rows FROM bronze_{e}" for e in ALL), bronze=ALL)
+    out["lake_rows_written"] = s(" UNION ALL ".join(
+        f"SELECT '{e}' AS entity, count(*) AS rows_written, count(*) AS rows_found FROM silver_{e}" for e in ALL), silver=ALL)
+    out["lake_branch_mart"] = out["gold_branch_performance"]
+    out["lake_export_loans"] = out["gold_loan_performance"]
     return out

@@ -33,7 +33,6 @@ DuckDB); everything else is the same text on both sides.
 
 from __future__ import annotations
 
-import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,19 +65,18 @@ def idx(key: str, div: int, mod: int) -> str:
     return f"(cast(floor({key} / {div}) as bigint) % {mod})"
 
 
-# Labels of the derived feeds (free to choose; not compared with anything).
-CITIES = ["Belfast", "Birmingham", "Bristol", "Manchester", "Edinburgh",
-          "Glasgow", "Leeds", "Derry", "Cardiff", "Swansea"]
-PROVINCES = ["England", "Scotland", "Wales", "Northern Ireland"]
-POST_AREAS = ["BT", "B", "BS", "M", "EH", "G", "LS", "BT", "CF", "SA"]
-FIRST_NAMES = ["Oliver", "Amelia", "Harry", "Isla", "George", "Ava", "Noah", "Mia"]
-LAST_NAMES = ["Smith", "Jones", "Taylor", "Brown", "Wilson", "Evans"]
-MARITAL = ["Married", "Single", "Divorced", "Widowed"]
-EMPLOYMENT = ["Employed", "Self-Employed", "Unemployed"]
-TX_TYPES = ["Card Payment", "Direct Debit", "Standing Order", "Transfer In",
-            "Transfer Out", "Cash Withdrawal", "Cash Deposit", "Salary", "Refund"]
-LOAN_TYPES = ["Mortgage", "Personal", "Joint", "Guarantor"]
-INVALID_RATES = ["0.0001", "0.99", "50.0", "-0.05"]
+# Labels of the derived feeds: invented, compared with nothing.
+CITIES = ["Alderwick", "Brindlemoor", "Castorby", "Dunmarrow", "Elderholt",
+          "Farrowgate", "Greywater", "Hollinford", "Inverdale", "Juniper Cross"]
+PROVINCES = ["North Reach", "East Fold", "Southmark", "Westering"]
+FIRST_NAMES = ["Aldo", "Brynn", "Corin", "Dara", "Ewan", "Fenna", "Gil", "Hesper"]
+LAST_NAMES = ["Ashdown", "Birkett", "Calloway", "Drummore", "Ellery", "Fenwick"]
+MARITAL = ["never married", "wed", "formerly wed", "partnered"]
+EMPLOYMENT = ["salaried", "freelance", "not working"]
+TX_TYPES = ["till purchase", "bill", "recurring order", "incoming wire", "outgoing wire",
+            "note machine", "counter deposit", "payroll", "reversal"]
+LOAN_TYPES = ["house", "vehicle", "tuition", "bridge"]
+OUT_OF_RANGE_RATES = ["0.0125", "0.75", "12", "-0.02"]
 
 
 def _variants(mapping: dict[str, str], canonical: str) -> list[str]:
@@ -97,8 +95,7 @@ class FeedSpec:
 def _specs(pick) -> dict[str, FeedSpec]:
     """The four feed specs, with list lookups written by ``pick``."""
     def _post_code(key: str, nation: str) -> str:
-        return (f"{pick(f'{nation} % 10', POST_AREAS)} || cast({key} % 9 + 1 as string)"
-                f" || ' ' || cast({key} % 10 as string) || 'AB'")
+        return f"'Z' || cast({nation} as string) || '-' || cast({key} % 900 + 100 as string)"
 
 
     _BR_MANAGER = "'Manager ' || cast(s_suppkey as string)"
@@ -181,6 +178,8 @@ def _specs(pick) -> dict[str, FeedSpec]:
              f"WHEN c_custkey % 97 = 11 THEN ' ' || {_INCOME_TXT} || ' ' "
              "WHEN c_custkey % 97 = 13 THEN 'abc' "
              "WHEN c_custkey % 97 = 17 THEN '4.5e4' "
+             "WHEN c_custkey % 997 = 29 THEN 'Infinity' "
+             f"WHEN c_custkey % 11 = 6 THEN {_INCOME_TXT} || '05' "
              f"WHEN copy_no = 2 THEN cast(cast({_INCOME} + 1000 as decimal(12,1)) as string) "
              f"ELSE {_INCOME_TXT} END"),
             ("occupation", "c_mktsegment"),
@@ -214,6 +213,9 @@ def _specs(pick) -> dict[str, FeedSpec]:
              "WHEN l_partkey % 211 = 9 THEN 'abc' "
              f"WHEN l_partkey % 40 = 7 THEN '-' || {_PRICE} "
              "WHEN l_partkey % 40 = 27 THEN '0.0' "
+             "WHEN l_orderkey % 9973 = 11 THEN 'inf' "
+             f"WHEN l_partkey % 13 = 4 THEN {_PRICE} || '25' "
+             f"WHEN l_partkey % 13 = 6 THEN {_PRICE} || '5' "
              f"ELSE {_PRICE} END"),
             ("currency",
              "CASE WHEN l_orderkey % 997 = 5 THEN 'EUR' "
@@ -249,12 +251,13 @@ def _specs(pick) -> dict[str, FeedSpec]:
              "WHEN o_orderkey % 997 = 1 THEN '0.0299' "
              "WHEN o_orderkey % 997 = 2 THEN '0.3001' "
              "WHEN o_orderkey % 20 = 13 OR (copy_no = 2 AND o_orderkey % 50 = 4) "
-             f"THEN {pick(idx('o_orderkey', 20, 4), INVALID_RATES)} "
+             f"THEN {pick(idx('o_orderkey', 20, 4), OUT_OF_RANGE_RATES)} "
              "ELSE cast(cast(0.03 + (o_orderkey % 2701) * 0.0001 as decimal(6,4)) as string) END"),
             ("term_months", "cast(12 * (1 + o_orderkey % 40) as string)"),
             ("monthly_payment",
+             "CASE WHEN o_orderkey % 4999 = 17 THEN 'inf' ELSE "
              "cast(cast(floor(o_totalprice / 100) as decimal(12,0)) "
-             "+ cast(o_orderkey % 100 as decimal(4,0)) * 0.01 as string)"),
+             "+ cast(o_orderkey % 100 as decimal(4,0)) * 0.01 as string) END"),
             ("loan_status",
              "CASE WHEN o_orderkey % 991 = 3 THEN 'Written Off' "
              "WHEN o_orderkey % 25 IN (3, 8) THEN CASE WHEN o_orderstatus = 'F' "
@@ -289,71 +292,21 @@ def feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     Same shape as ``sources.bronze.read_bronze``: the entity's CSV columns
     plus ``_arrival``, with missing-value spellings already read as null.
     """
-    per_session = _FEEDS.setdefault(spark, {})
-    key = (sf_dir.rstrip("/"), entity)
-    if key not in per_session:
-        per_session[key] = _build_feed(spark, key[0], entity)
-    return per_session[key]
+    text = raw_feed(spark, sf_dir, entity)
+    return text.select(*[null_tokens(c, vocab.NULL_TOKENS).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)
 
 
-def _build_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+def raw_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The feed as it stands in a raw file, missing-value spellings included."""
     spec = FEEDS[entity]
-    src = _source(spark, f"{sf_dir}/{spec.table}.parquet")
+    src = spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.table}.parquet")
     if spec.copies_when:
         copies = F.when(F.expr(spec.copies_when), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
         src = src.withColumn("copy_no", F.explode(copies))
     else:
         src = src.withColumn("copy_no", F.lit(1))
     arrival = F.struct(*[F.expr(e).alias(f"a{i}") for i, e in enumerate(spec.arrival)])
-    text = src.select(*[F.expr(e).alias(c) for c, e in spec.columns], arrival.alias(ARRIVAL))
-    return text.select(*[null_tokens(c, vocab.NULL_TOKENS).alias(c) for c, _ in spec.columns], ARRIVAL)
-
-
-# Key columns of each test table: the spread hashes on these only, so column
-# pruning still reaches the scan through the repartition.
-TABLE_KEYS = {
-    "supplier": ["s_suppkey"],
-    "customer": ["c_custkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "orders": ["o_orderkey"],
-}
-
-
-def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None,
-           min_bytes: int = 1 << 20) -> DataFrame:
-    """Give a scan at least ``min_partitions`` tasks (default: the session's
-    parallelism).
-
-    The test tables are single-row-group files, so each is one input split
-    and all row-local work of a feed would run in one task.  Such a scan is
-    hash-spread on its key columns: deterministic on a re-run (no round-robin
-    sort needed), only rows of one key share a partition, and columns a query
-    does not use are still pruned from the scan.  A table that already has enough splits -
-    any real input - is left alone, with no shuffle, and so is a table under
-    ``min_bytes`` on disk, which one task reads faster than a shuffle moves it.
-    """
-    from bankmart.operators.impute import estimated_bytes
-
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < min_bytes or len(df.inputFiles()) >= target:
-        return df
-    return df.repartition(target, *[F.col(c) for c in keys])
-
-
-# DataFrames are immutable plans: one scan per (session, table) and one feed
-# per (session, folder, entity) serve every query built from them.
-_SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-_FEEDS: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], DataFrame]]" = weakref.WeakKeyDictionary()
-
-
-def _source(spark: SparkSession, path: str) -> DataFrame:
-    """The (spread) scan of one test table; DataFrames are immutable, so one
-    per session and path is reused by every feed built from it."""
-    per_session = _SOURCES.setdefault(spark, {})
-    if path not in per_session:
-        table = path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".parquet")
-        per_session[path] = spread(spark.read.parquet(path), TABLE_KEYS[table])
-    return per_session[path]
+    return src.select(*[F.expr(e).alias(c) for c, e in spec.columns], arrival.alias(ARRIVAL))
 
 
 class Feeds(dict):

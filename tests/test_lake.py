@@ -1,5 +1,4 @@
-"""Incremental (streaming) silver equals the batch job; lake sinks round-trip;
-results do not depend on partitioning."""
+"""CSV source, lake sinks and layered runs; results do not depend on partitioning."""
 
 from __future__ import annotations
 
@@ -11,10 +10,9 @@ from conftest import rows, sf_dir, write_csv
 from bankmart.plans import gold
 from bankmart.plans.silver import SILVER_JOBS, silver_transactions
 from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS, silver_columns
-from bankmart.sources.bronze import read_bronze
+from bankmart.sources.bronze import corrupt_counts, read_bronze, read_csv_text
 from bankmart.sources.lake import Lake
-from bankmart.sources.tpch_feed import feed, feeds
-from bankmart.streaming import incremental
+from testfeeds.tpch_feed import feed, feeds
 
 
 def _export_feed_csv(spark, entity, folder, files):
@@ -28,16 +26,33 @@ def _export_feed_csv(spark, entity, folder, files):
     return folder
 
 
-@pytest.mark.parametrize("entity", ["transactions", "loans", "branches", "customers"])
-def test_incremental_equals_batch(spark, scratch, entity):
-    raw = _export_feed_csv(spark, entity, os.path.join(scratch, "raw"), files=3)
-    out = os.path.join(scratch, "silver")
-    q = incremental.start(spark, raw, entity, out, checkpoint=os.path.join(scratch, "ckpt"))
-    q.awaitTermination(300)
-    streamed = incremental.finish_batch(spark.read.parquet(out), entity)
-    batch = SILVER_JOBS[entity](read_bronze(spark, raw, entity))
-    cols = silver_columns(entity)
-    assert rows(streamed, *cols) == rows(batch, *cols)
+def test_columns_are_found_by_name(spark, scratch):
+    path = os.path.join(scratch, "loans")
+    names = list(reversed(BRONZE_COLUMNS["loans"]))
+    write_csv(path, "a.csv", [*names, "extra"], [[f"{c}-1" for c in names] + ["x"]])
+    row = read_bronze(spark, path, "loans").first()
+    assert all(row[c] == f"{c}-1" for c in names)
+    write_csv(path, "b.csv", BRONZE_COLUMNS["loans"], [["v"] * len(names)])
+    with pytest.raises(Exception, match="(?i)header"):  # another order in another file
+        read_bronze(spark, path, "loans").collect()
+    lacking = os.path.join(scratch, "lacking")
+    write_csv(lacking, "a.csv", names[1:], [["v"] * (len(names) - 1)])
+    with pytest.raises(ValueError, match=names[0]):
+        read_bronze(spark, lacking, "loans")
+
+
+def test_malformed_rows_are_kept_and_counted(spark, scratch):
+    path = os.path.join(scratch, "loans")
+    names = BRONZE_COLUMNS["loans"]
+    good = [f"g{i}" for i in range(len(names))]
+    write_csv(path, "a.csv", names, [good, [*good, "extra cell"], good[:-3], ["quoted\nnewline", *good[1:]], ["NA", *good[1:]]])
+    text = read_csv_text(spark, path, "loans")
+    counts = corrupt_counts({"loans": text}).first()
+    assert (counts.total_rows, counts.corrupt_rows) == (6, 3)  # the quoted newline leaves a short row
+    assert text.where(f"{names[0]} = 'NA'").count() == 1  # untouched
+    assert read_bronze(spark, path, "loans").where(f"{names[0]} is null").count() == 1
+    whole = read_csv_text(spark, path, "loans", splittable=False)
+    assert corrupt_counts({"loans": whole}).first().corrupt_rows == 2
 
 
 def test_partition_independence(spark, scratch):

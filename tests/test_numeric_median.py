@@ -47,6 +47,21 @@ def test_money_sum_exact_and_order_free(spark):
         assert got == expect
 
 
+def test_totals_round_once_at_the_end(spark):
+    def total(vals):
+        return spark.createDataFrame([(float(v),) for v in vals], "v double").agg(
+            money_sum("v").alias("s"), mean_round("v", 2).alias("m")).first()
+
+    assert total([0.004] * 1000) == (4.0, 0.0)
+    assert total([1234.565] * 3 + [1000.125])[0] == 4703.82
+    assert total([0.005, -0.01]) == (-0.01, 0.0)
+    inf = float("inf")
+    assert total([1.0, inf]) == (inf, inf) and total([-inf, 2.0]) == (-inf, -inf)
+    assert all(x != x for x in total([inf, -inf]))
+    with pytest.raises(Exception, match="does not fit"):
+        total([1e18])
+
+
 def test_ratio_pct_half_up(spark):
     df = spark.createDataFrame([(1, 8000), (1, 3), (2, 3), (0, 5), (5, 0)], "n long, d long")
     got = [r.p for r in df.select(ratio_pct("n", "d", 2).alias("p")).collect()]
@@ -60,9 +75,9 @@ def test_round_half_up_single_values(spark):
     assert got == [2.68, 1.01, -1.01, None]
 
 
-def _median_of(spark, values, parts=4, small_bytes=None):
+def _median_of(spark, values, parts=4):
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
-    return exact_median(df, "v", small_bytes=small_bytes).first()[0]
+    return exact_median(df, "v").first()[0]
 
 
 @pytest.mark.parametrize("values,expect", [
@@ -76,8 +91,7 @@ def _median_of(spark, values, parts=4, small_bytes=None):
 ])
 def test_exact_median_small(spark, values, expect):
     vals = [None if v is None else float(v) for v in values]
-    assert _median_of(spark, vals) == expect                       # bracketed path
-    assert _median_of(spark, vals, small_bytes=1 << 40) == expect  # size-checked path
+    assert _median_of(spark, vals) == expect
 
 
 def test_exact_median_matches_numpy_with_hot_value(spark):
@@ -96,9 +110,25 @@ def test_exact_median_random(spark, seed):
     n = rnd.randint(1, 5000)
     vals = [round(rnd.gauss(100, 30), 2) for _ in range(n)]
     parts = rnd.randint(1, 8)
-    bracketed = _median_of(spark, vals, parts=parts)
-    assert bracketed == pytest.approx(float(np.median(vals)), abs=1e-9)
-    assert _median_of(spark, vals, parts=parts, small_bytes=1 << 40) == bracketed
+    assert _median_of(spark, vals, parts=parts) == pytest.approx(float(np.median(vals)), abs=1e-9)
+
+
+def test_exact_median_with_infinities_and_wide_range(spark):
+    inf = float("inf")
+    assert _median_of(spark, [-inf, 1.0, 2.0, inf]) == 1.5
+    assert _median_of(spark, [1.0, inf, inf]) == inf
+    assert _median_of(spark, [-inf, -inf, 5.0]) == -inf
+    assert _median_of(spark, [1e-300, 2e-300, 3e-300, 1e300, -1e300]) == 2e-300
+    assert _median_of(spark, [5e-324, 1e-323, 1.5e-323]) == 1e-323
+
+
+def test_exact_median_sees_few_rows_at_a_time(spark, monkeypatch):
+    from bankmart.operators import impute
+
+    monkeypatch.setattr(impute, "BINS", 3)  # many narrowing steps
+    rnd = random.Random(3)
+    vals = [rnd.lognormvariate(0, 8) for _ in range(2001)]
+    assert _median_of(spark, vals) == float(np.median(vals))
 
 
 def test_fill_median_population_and_type(spark):
