@@ -56,6 +56,10 @@ _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 
 
+def _times(n: int, odd: np.uint64) -> np.uint64:
+    return np.uint64(n * int(odd) & 0xFFFFFFFFFFFFFFFF)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _M1
     x = (x ^ (x >> np.uint64(29))) * _M2
@@ -84,10 +88,8 @@ class Shingler:
             return np.zeros(0, np.uint64)
         h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
         if len(h) < self.n:  # its own kind of n-gram, with its length
-            total = np.uint64(len(h)) * _GOLD
-            for i, x in enumerate(h):
-                total = total + x * self.odd[i]
-            return _mix(np.array([total]))
+            total = (h * np.array(self.odd[:len(h)])).sum(dtype=np.uint64)
+            return _mix(np.array([total]) + _times(len(h), _GOLD))
         out = h[:len(h) - self.n + 1] * self.odd[0]
         for i in range(1, self.n):
             out = out + h[i:len(h) - self.n + 1 + i] * self.odd[i]
@@ -114,14 +116,15 @@ class Shingler:
             at = ((grams >> np.uint64(32)) * fragments) >> np.uint64(32)
             first = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
             size = np.diff(np.append(first, n))
-            key = _mix(sums[first + size] - sums[first] + at[first] * _M1 + np.uint64(level + 1) * _M2)
+            key = _mix(sums[first + size] - sums[first] + at[first] * _M1 + _times(level + 1, _M2))
             out.append(key[np.lexsort((key, -size))[:d + 1]])
             if len(first) <= d:
-                out.append(_mix(grams[:d + 1] ^ (np.uint64(level + 1) * _GOLD)))
+                out.append(_mix(grams[:d + 1] ^ _times(level + 1, _GOLD)))
         return np.concatenate(out)
 
     def signature(self, grams: np.ndarray) -> int:
-        return int(_mix(np.array([_mix(grams + _M2).sum(dtype=np.uint64) + np.uint64(len(grams)) * _GOLD])).view(np.int64)[0])
+        total = np.array([_mix(grams + _M2).sum(dtype=np.uint64)])
+        return int(_mix(total + _times(len(grams), _GOLD)).view(np.int64)[0])
 
 
 _SETS = "id long, n long, sig long, keys array<long>"
@@ -260,9 +263,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         roots = components(_contracted(found, label))
         label = written(_relabelled(label, roots), "label")
 
-    least = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id")))
-    known = sets.where("n > 0").groupBy("sig").agg(least.alias("least")).join(label, "sig", "left").withColumn("c", F.coalesce("c", "sig"))
-    known = known.withColumn("component_id", F.min("least").over(Window.partitionBy("c"))["id"]).select("sig", "component_id")
+    known = sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("least")).join(label, "sig", "left").withColumn("c", F.coalesce("c", "sig"))
+    smallest = known.groupBy("c").agg(F.min("least").alias("component_id"))
+    known = known.join(smallest, "c").select("sig", "component_id")
     plain = sets.select("id", "n", "sig")
     grouped = plain.where("n > 0").join(known, "sig", "left").select("id", F.col("n").alias("n_shingles"), "component_id")
     return grouped.unionByName(plain.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
