@@ -25,10 +25,11 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node and root (the least node of its component) of every linked node
     but the roots; ``links`` has the columns a < b."""
-    state = None
     while True:
         links = written(_small_star(_large_star(links)), "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 30))).first()
-        if now == state:
+        # done when all links lead straight to roots: a node has one, a root none
+        n, nodes, inner = (links.select("b", F.lit(0).alias("up")).unionByName(links.select(F.col("a").alias("b"), F.lit(1).alias("up")).distinct())
+                           .groupBy("b").agg(F.sum(1 - F.col("up")).alias("links"), F.max("up").alias("up"))
+                           .agg(F.sum("links"), F.count_if(F.col("links") > 0), F.count_if((F.col("links") > 0) & (F.col("up") > 0))).first())
+        if (n or 0) == nodes and not inner:
             return links.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        state = now

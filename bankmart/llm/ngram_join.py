@@ -14,10 +14,11 @@ for that too.  A node with D segments or fewer (small sets) has its first
 D + 1 n-grams as further keys, the usual prefix filter, as both partners
 must be such nodes to be missed otherwise.
 
-Links.  All nodes of a key are tested against its least node.  Where that
-leaves a star in several components, further members are tested against
-some more members as pivots (about the logarithm of its size), and at last
-every pair of the star in different components.  So no link between
+Links.  The nodes of all keys with the same least node are its star.  All
+members are tested against it and some more members (in number about the
+logarithm of the star's size, chosen by hash), and then every pair of the
+star that is in different components still.  Sizes and bitmaps of the sets
+rule out most pairs within the join, exactly.  So no link between
 components is missed, and a group of copies needs no pair of each two.
 A test joins the pair's segments by vertical fragment, counts the partial
 overlaps separately and sums them per pair.
@@ -50,6 +51,7 @@ WORDS = 5
 PERCENT = 80
 CLASS = 1.6  # ratio of the size classes
 VERTICAL = 4  # fragments of the overlap counts
+BITMAP = 16  # longs of a set's bitmap
 REMEMBERED = 1_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
@@ -122,23 +124,30 @@ class Shingler:
                 out.append(_mix(grams[:d + 1] ^ _times(level + 1, _GOLD)))
         return np.concatenate(out)
 
+    def bitmap(self, grams: np.ndarray) -> np.ndarray:
+        bits = np.zeros(64 * BITMAP, bool)
+        bits[(grams >> np.uint64(11)) % np.uint64(64 * BITMAP)] = True
+        return np.packbits(bits).view(np.int64)
+
     def signature(self, grams: np.ndarray) -> int:
         total = np.array([_mix(grams + _M2).sum(dtype=np.uint64)])
         return int(_mix(total + _times(len(grams), _GOLD)).view(np.int64)[0])
 
 
-_SETS = "id long, n long, sig long, keys array<long>"
+_BITS = [f"b{i}" for i in range(BITMAP)]
+_SETS = "id long, n long, sig long, keys array<long>, " + ", ".join(f"{b} long" for b in _BITS)
 
 
 def _describe(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(n, percent), set()
         for got in batches:
-            sizes, sigs, keys = [], [], []
-            for text in got.column(1):
+            sizes, sigs, keys, bits = [], [], [], np.zeros((got.num_rows, BITMAP), np.int64)
+            for row, text in enumerate(got.column(1)):
                 grams = shingler.grams(text.as_py())
                 sig = shingler.signature(grams)
                 sizes.append(len(grams))
+                bits[row] = shingler.bitmap(grams)
                 sigs.append(sig)
                 # a task gives the keys of equal sets once
                 keys.append(shingler.keys(grams).view(np.int64) if len(grams) and sig not in seen else None)
@@ -146,8 +155,8 @@ def _describe(n: int, percent: int):
                 if len(seen) > REMEMBERED:
                     seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [got.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "sig", "keys"])
+                [got.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                 *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(BITMAP)]], names=["id", "n", "sig", "keys", *_BITS])
 
     return run
 
@@ -187,19 +196,34 @@ def _similar(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _pairs(df: DataFrame, percent: int) -> DataFrame:
-    """Distinct a < b whose sizes allow a link, from columns x, nx, y, ny."""
-    fit = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    swap = F.col("x") < F.col("y")
-    return df.where(fit & (F.col("x") != F.col("y"))).select(
-        F.least("x", "y").alias("a"), F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("na"),
-        F.greatest("x", "y").alias("b"), F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
-
-
-def _relabelled(stars: DataFrame, roots: DataFrame) -> DataFrame:
-    """Stars with the members' components after links between them."""
+def _may_link(x: str, y: str, percent: int) -> F.Column:
+    """Whether sizes and bitmaps of the sides ``x`` and ``y`` of a join allow a
+    link: a bit that one side lacks is an n-gram of the other that it lacks."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    fit = F.lit(True)
+    for one, other, n in ((x, y, nx), (y, x, ny)):
+        lacking = F.lit(0)
+        for b in _BITS:
+            lacking = lacking + F.bit_count(F.col(f"{one}.{b}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{b}"))))
+        fit = fit & ((100 + percent) * (n - lacking) >= percent * (nx + ny))
+    return fit
+
+
+def _candidates(left: DataFrame, right: DataFrame, percent: int, also: F.Column | None = None) -> DataFrame:
+    """Distinct pairs a < b of members of a star (p) that may link."""
+    x, y = F.col("x.sig"), F.col("y.sig")
+    on = (F.col("x.p") == F.col("y.p")) & (x != y) & _may_link("x", "y", percent)
+    both = left.alias("x").join(right.alias("y"), on if also is None else on & also)
+    swap = x < y
+    return both.select(
+        F.least(x, y).alias("a"), F.when(swap, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
+        F.greatest(x, y).alias("b"), F.when(swap, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")).distinct()
+
+
+def _relabelled(label: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes' components after links between components."""
     moved = roots.select(F.col("node").alias("c"), F.col("root").alias("c2"))
-    return stars.join(moved, "c", "left").withColumn("c", F.coalesce("c2", "c")).drop("c2")
+    return label.join(moved, "c", "left").withColumn("c", F.coalesce("c2", "c")).drop("c2")
 
 
 def _contracted(links: DataFrame, label: DataFrame) -> DataFrame:
@@ -221,47 +245,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = written(slim.mapInArrow(_describe(words, percent), _SETS), "sets")
 
     in_key = Window.partitionBy("key")
-    rows = sets.select("sig", "n", F.explode("keys").alias("key"))
-    rows = rows.withColumns({"p": F.min(F.struct("sig", "n")).over(in_key), "q": F.max("sig").over(in_key)}).where("p.sig <> q")
-    stars = written(rows.select(F.col("p.sig").alias("p"), F.col("p.n").alias("np"), "sig", "n").distinct(), "stars")
-
-    nodes = stars.select("sig").distinct()  # the pivots are members of their stars
-    segments = written(slim.select("text").mapInArrow(_segments(words, percent, vertical), "sig long, f int, grams array<long>")
-                       .join(nodes, "sig", "left_semi").dropDuplicates(["sig", "f"]), "segments")
+    rows = sets.select("sig", F.explode("keys").alias("key"))
+    rows = rows.withColumns({"p": F.min("sig").over(in_key), "q": F.max("sig").over(in_key)}).where("p <> q")
+    bits = sets.where("n > 0").groupBy("sig").agg(*[F.max(c).alias(c) for c in ["n", *_BITS]])
+    stars = written(rows.select("p", "sig").distinct().join(bits, "sig"), "stars")  # the pivot is a member too
 
     def linked(pairs: DataFrame, what: str) -> DataFrame:
-        return written(_similar(written(_pairs(pairs, percent), f"{what}-pairs"), segments, percent), what)
-
-    links = linked(stars.select(F.col("p").alias("x"), F.col("np").alias("nx"), F.col("sig").alias("y"), F.col("n").alias("ny")), "links1")
-    roots = components(links)
+        pairs = written(pairs, f"{what}-pairs")
+        nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), f"{what}-nodes")
+        segments = written(slim.select("text").mapInArrow(_segments(words, percent, vertical), "sig long, f int, grams array<long>")
+                           .join(nodes, "sig", "left_semi").dropDuplicates(["sig", "f"]), f"{what}-segments")
+        return written(_similar(pairs, segments, percent), what)
+
+    # every member of a star against its pivot and some more members by hash
+    sizes = stars.groupBy("p").agg(F.count(F.lit(1)).alias("m"))
+    share = F.ceil(F.log2(F.col("m"))) * 4 / F.col("m")
+    chosen = F.pmod(F.xxhash64("sig", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30)
+    pivots = stars.join(sizes, "p").where((F.col("sig") == F.col("p")) | chosen).drop("m")
+    roots = components(linked(_candidates(stars, pivots, percent), "links"))
+    nodes = stars.select("sig").distinct()
     label = written(nodes.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
                     .select("sig", F.coalesce("root", "sig").alias("c")), "label")
 
-    def unsettled() -> DataFrame:
-        """Members of the stars in several components, with their component,
-        whether it is the star's largest, and a rank by hash."""
-        members = stars.select("p", "sig", "n").join(label, "sig")
-        several = (members.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("p")
-                   .agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("m"))
-                   .where("cs > 1").select("p", F.col("top.c").alias("main"), "m"))
-        return members.join(several, "p").withColumn("main", F.col("c") == F.col("main"))
-
-    def crossing(left: DataFrame, right: DataFrame) -> DataFrame:
-        other = right.select("p", F.col("sig").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
-        return left.select("p", F.col("sig").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx")).join(other, "p").where("cx <> cy")
-
-    for last in (False, True):
-        members = written(unsettled(), "unsettled")
-        if last:
-            pairs = crossing(members.where("not main"), members)
-        else:
-            by_hash = Window.partitionBy("p").orderBy(F.xxhash64("sig", F.lit(5)))
-            most = F.ceil(F.log2(F.col("m"))) * 4
-            pivots = members.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= most)
-            pairs = crossing(members.where("not main"), pivots)
-        found = linked(pairs, "links2" if not last else "links3")
-        roots = components(_contracted(found, label))
-        label = written(_relabelled(label, roots), "label")
+    # then every pair of a star that is in different components still
+    members = stars.join(label, "sig")
+    several = (members.groupBy("p", "c").agg(F.count(F.lit(1)).alias("k")).groupBy("p")
+               .agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("k", "c")).alias("top")).where("cs > 1"))
+    members = written(members.join(several, "p").withColumn("main", F.col("c") == F.col("top.c")).drop("cs", "top"), "unsettled")
+    rest = written(_candidates(members.where("not main"), members, percent, F.col("x.c") != F.col("y.c")), "rest")
+    if not rest.isEmpty():
+        found = linked(rest, "late-links")
+        label = written(_relabelled(label, components(_contracted(found, label))), "label")
 
     known = sets.where("n > 0").groupBy("sig").agg(F.min("id").alias("least")).join(label, "sig", "left").withColumn("c", F.coalesce("c", "sig"))
     smallest = known.groupBy("c").agg(F.min("least").alias("component_id"))
