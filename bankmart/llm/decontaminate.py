@@ -8,10 +8,14 @@ group's vocabulary is farther than that and goes (an exact test).  For the
 others a CGK random walk - at each step the symbol read decides by a shared
 random bit whether to move on - turns edit distance into Hamming distance,
 and equal symbols at the ``SAMPLED`` sampled steps make a window and an item
-candidates.  The walk is repeated with new bits; the number of repetitions
-is the least with which trial copies of the items, with edits up to the
-bound, are found at ``RECALL``.  Candidates are verified by the exact edit
-distance of the item to the best passage around the window.
+candidates.  The walk is repeated with new bits; each group has the least
+number of repetitions with which trial copies of its items, all with as many
+edits as the bound allows and embedded in other words, are found at
+``RECALL`` by the search itself.  A group that does not get there with
+``MOST_REPEATS`` is searched exactly: an item is cut into one piece more than
+its edits, one of which must stand in the passage unchanged.  Candidates are
+verified by the exact edit distance of the item to the best passage around
+the window.
 
 Work is local to the scan's partitions.  Items are sent to the tasks in
 blocks of about ``ITEMS``, a pass over the documents for each block.
@@ -26,7 +30,7 @@ from __future__ import annotations
 
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +41,10 @@ from bankmart.llm.common import ship, written
 
 TAU = 0.2
 SAMPLED = 3
-RECALL = 0.95
+RECALL = 0.99
 MOST_REPEATS = 64
 ITEMS = 20_000
+TRIALS = 500  # of a group, over all its lengths
 GROWTH = 1.12  # of the lengths in a group
 WORDS_AT_ONCE = 1_500_000
 
@@ -77,7 +82,7 @@ class Group:
 
 
 class Index:
-    def __init__(self, items: list[tuple[object, str | None]]):
+    def __init__(self, items: list[tuple[object, str | None]], repeats: list[int] | None = None):
         rng = np.random.default_rng(11)
         split = [words_of(t) for _, t in items]
         self.ids = [i for i, _ in items]
@@ -101,8 +106,11 @@ class Index:
             at = end
         self.pad = max([2 * g.most + 2 for g in self.groups], default=0)
         self.bits = rng.integers(0, 1 << 63, (MOST_REPEATS, -(-max([g.steps for g in self.groups], default=1) // 60), len(self.of) + 1))
-        self.repeats = self.needed(rng)
-        self.tables = [self.table(g) for g in self.groups]
+        self.lead = max([int(TAU * g.most) for g in self.groups], default=0)
+        #: Of each group; 0: searched exactly.
+        self.repeats = [self.needed(g, rng) for g in self.groups] if repeats is None else repeats
+        self.tables = [self.table(g, range(n)) for g, n in zip(self.groups, self.repeats, strict=True)]
+        self.pieces = [{} if n else self.cut(g) for g, n in zip(self.groups, self.repeats, strict=True)]
 
     def walk(self, stream: np.ndarray, starts: np.ndarray, group: Group, repeat: int) -> np.ndarray:
         """Sampled symbols of the walks from ``starts``, folded to a number."""
@@ -117,70 +125,128 @@ class Index:
             place += (self.bits[repeat, t // 60][symbol] >> (t % 60)) & 1
         return out
 
-    def needed(self, rng: np.random.Generator) -> int:
-        """Repetitions with which trial copies are found at ``RECALL``."""
-        trials = []
-        for group in self.groups:
-            for i in group.items[:50]:
-                item = self.symbols[i]
-                copy = item.tolist()
-                for _ in range(int(rng.integers(0, int(TAU * len(item)) + 1))):
-                    j, kind = int(rng.integers(0, len(copy))), int(rng.integers(0, 3))
-                    copy[j:j + 1] = [[0], [], [copy[j], 0]][kind]
-                pad = [0] * self.pad
-                stream = np.array([*item.tolist(), *pad, *copy, *pad], np.int64)
-                starts = np.array([0, len(item) + len(pad)])
-                same = [w[0] == w[1] for w in (self.walk(stream, starts, group, r) for r in range(MOST_REPEATS))]
-                trials.append(np.mean(same))
-        p = np.array(trials or [1.0])
-        return next((r for r in range(4, MOST_REPEATS) if np.mean(1 - (1 - p) ** r) >= RECALL), MOST_REPEATS)
-
-    def table(self, group: Group) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
+    def trial(self, item: np.ndarray, rng: np.random.Generator) -> list[int]:
+        """A copy with as many edits as the bound allows, at different places."""
+        copy = item.tolist()
+        for j in sorted(rng.choice(len(item), int(TAU * len(item)), replace=False).tolist(), reverse=True):
+            copy[j:j + 1] = [[0], [], [copy[j], 0]][int(rng.integers(0, 3))]
+        return copy
+
+    def needed(self, group: Group, rng: np.random.Generator) -> int:
+        """Repetitions with which the search finds trial copies at ``RECALL``, or 0."""
+        tried = [group.items[j] for j in np.linspace(0, len(group.items) - 1, TRIALS).astype(int)]
+
+        def others(n: int) -> list[int]:
+            return (rng.integers(1, len(self.of) + 1, n) * rng.integers(0, 2, n)).tolist()
+
+        texts = [[*others(self.pad), *self.trial(self.symbols[i], rng), *others(self.pad)] for i in tried]
+        bounds, stream = self.laid(texts)
+        starts = self.starts(stream, bounds, texts, group)
+        trial = np.searchsorted(bounds, starts, "right") - 1
+        near = np.abs(starts - bounds[trial] - self.lead - self.pad) <= int(TAU * group.least)
+        starts, trial = starts[near], trial[near]
+        missed = np.ones(TRIALS, bool)
+        for r in range(MOST_REPEATS):
+            ((keys, items),) = self.table(group, [r])
+            key_of = {i: key for key, held in items.items() for i in held}
+            want = np.array([key_of[i] for i in tried], np.uint64)
+            left = missed[trial]
+            starts, trial = starts[left], trial[left]
+            missed[trial[self.walk(stream, starts, group, r) == want[trial]]] = False
+            if r >= 3 and missed.mean() <= 1 - RECALL:
+                return r + 1
+            if r >= 7 and missed.mean() ** (MOST_REPEATS / (r + 1)) > 1 - RECALL:  # what the rest can do at best
+                break
+        return 0
+
+    def table(self, group: Group, repeats: Iterable[int]) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
         streams = [np.concatenate([self.symbols[i], np.zeros(self.pad, np.int64)]) for i in group.items]
         starts = np.cumsum([0, *[len(s) for s in streams[:-1]]])
         out = []
-        for r in range(self.repeats):
+        for r in repeats:
             keys = defaultdict(list)
             for i, key in zip(group.items, self.walk(np.concatenate(streams), starts, group, r).tolist(), strict=True):
                 keys[key].append(i)
             out.append((np.array(sorted(keys), np.uint64), dict(keys)))
         return out
 
+    @staticmethod
+    def rolled(stream: np.ndarray, n: int) -> np.ndarray:
+        """A number for the ``n`` words from each place."""
+        out = np.zeros(max(0, len(stream) - n + 1), np.uint64)
+        for j in range(n):
+            out = (out ^ stream[j:j + len(out)].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def cut(self, group: Group) -> dict[int, tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]:
+        """By length, the pieces of the items and their places."""
+        held: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for i in group.items:
+            at = 0
+            for piece in np.array_split(self.symbols[i], int(TAU * len(self.symbols[i])) + 1):
+                held[len(piece)][int(self.rolled(piece, len(piece))[0])].append((i, at))
+                at += len(piece)
+        return {n: (np.array(sorted(keys), np.uint64), dict(keys)) for n, keys in held.items()}
+
+    def laid(self, texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts one after another, each with ``lead`` empty places before it."""
+        bounds = np.cumsum([0, *[len(t) + self.pad for t in texts]])
+        stream = np.zeros(bounds[-1] + self.lead, np.int64)
+        for t, lo in zip(texts, (bounds + self.lead).tolist(), strict=False):
+            stream[lo:lo + len(t)] = t
+        return bounds, stream
+
+    def starts(self, stream: np.ndarray, bounds: np.ndarray, texts: list[list[int]], group: Group) -> np.ndarray:
+        """Starts of the windows with enough words of the group's vocabulary."""
+        hits = np.cumsum(self.flags[group.number][stream], dtype=np.int32)
+        hits = np.concatenate([[0], hits])
+        starts = np.flatnonzero(hits[group.most:] - hits[:-group.most] >= max(1, group.need))
+        doc = np.searchsorted(bounds, starts, "right") - 1
+        ends = bounds[:-1] + self.lead + np.array([len(t) for t in texts])
+        return starts[starts < np.append(ends, 0)[doc]]
+
     def found(self, texts: list[list[int]]) -> list[list[tuple[int, int, int]]]:
         """For each document (its symbols) the items in it: place of the item, edits, first word."""
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         if not self.groups or not texts:
             return out
-        bounds = np.cumsum([0, *[len(t) + self.pad for t in texts]])
-        stream = np.zeros(bounds[-1], np.int64)
-        for t, lo in zip(texts, bounds.tolist(), strict=False):
-            stream[lo:lo + len(t)] = t
+        bounds, stream = self.laid(texts)
         candidates: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for group in self.groups:
-            hits = np.cumsum(self.flags[group.number][stream], dtype=np.int32)
-            hits = np.concatenate([[0], hits])
-            near = hits[group.most:] - hits[:-group.most] >= max(1, group.need)
-            starts = np.flatnonzero(near)
-            starts = starts[self.flags[group.number][stream[starts]]]
+
+        def look(got: np.ndarray, keys: np.ndarray) -> np.ndarray:
+            return np.flatnonzero(keys[np.minimum(np.searchsorted(keys, got), len(keys) - 1)] == got)
+
+        for n, (keys, pieces) in ((n, held) for cut in self.pieces for n, held in cut.items()):
+            got = self.rolled(stream, n)
+            hit = look(got, keys)
+            doc = np.searchsorted(bounds, hit, "right") - 1
+            for s, d, key in zip(hit.tolist(), doc.tolist(), got[hit].tolist(), strict=True):
+                for i, at in pieces[key]:
+                    candidates[d, i].add(s - at)
+        for group, tables in zip(self.groups, self.tables, strict=True):
+            starts = self.starts(stream, bounds, texts, group) if tables else ()
             if not len(starts):
                 continue
-            for r, (keys, items) in enumerate(self.tables[group.number]):
+            for r, (keys, items) in enumerate(tables):
                 got = self.walk(stream, starts, group, r)
-                at = np.searchsorted(keys, got)
-                hit = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == got)
+                hit = look(got, keys)
                 doc = np.searchsorted(bounds, starts[hit], "right") - 1
                 for s, d, key in zip(starts[hit].tolist(), doc.tolist(), got[hit].tolist(), strict=True):
                     for i in items[key]:
                         candidates[d, i].add(s)
         for (d, i), places in candidates.items():
             item, bound = self.symbols[i], int(TAU * len(self.symbols[i]))
-            lo, hi = int(bounds[d]), int(bounds[d]) + len(texts[d])
+            lo = int(bounds[d]) + self.lead
+            hi = lo + len(texts[d])
             best, covered = None, -1
             for s in sorted(places):
                 if s <= covered:
                     continue
                 a, b = max(lo, s - bound), min(hi, s + len(item) + 3 * bound + 1)
                 covered = s + bound  # the region holds every passage that starts so near
+                if np.isin(stream[a:b], item).sum() < len(item) - bound:
+                    continue
                 edits, end = edits_within(item, stream[a:b])
                 if edits <= bound and (best is None or edits < best[0]):
                     best = (edits, max(0, a + end - len(item) - lo))
@@ -193,10 +259,10 @@ _INDEXES: dict[str, Index] = {}
 
 
 def _index(shared) -> Index:
-    key, items = shared.value
+    key, items, repeats = shared.value
     if key not in _INDEXES:  # a worker keeps the last index
         _INDEXES.clear()
-        _INDEXES[key] = Index(items)
+        _INDEXES[key] = Index(items, repeats)
     return _INDEXES[key]
 
 
@@ -245,7 +311,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, items: int) -> I
     n = -(-slim.count() // items)
     for b in range(n):
         part = slim.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text")
-        yield sc.broadcast((uuid.uuid4().hex, [(r.item_id, r.text) for r in part.collect()]))
+        held = [(r.item_id, r.text) for r in part.collect()]
+        yield sc.broadcast((uuid.uuid4().hex, held, Index(held).repeats))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

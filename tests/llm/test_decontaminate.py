@@ -72,3 +72,39 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert leaks(df.limit(0), bench).collect() == [] and leaks(df, bench.limit(0)).collect() == []
     assert without_leaks(df, bench.limit(0)).count() == len(docs)
+
+
+def at_the_bound(lengths, seed, first=False):
+    """Share of copies with as many edits as allowed that are found."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=n))) for i, n in enumerate(lengths)]
+    index = Index(items)
+    texts = []
+    for _, t in items:
+        words = t.split()
+        places = set(rng.sample(range(1, len(words)), int(TAU * len(words)) - first)) | ({0} if first else set())
+        for j in sorted(places, reverse=True):
+            words[j:j + 1] = [["odd"], [], [words[j], "odd"]][rng.randrange(3) if j else 0]
+        texts.append([index.of.get(w.encode(), 0) for w in rng.choices(vocabulary, k=40) + words + rng.choices(vocabulary, k=40)])
+    found = [{i for i, *_ in f} for f in index.found(texts)]
+    return index, sum(i in f for i, f in enumerate(found)) / len(items)
+
+
+def test_recall_at_the_bound():
+    assert at_the_bound([15 + i % 45 for i in range(400)], 1)[1] >= 0.96
+    assert at_the_bound([15 + i % 45 for i in range(400)], 2, first=True)[1] >= 0.96
+    assert at_the_bound([5 + i % 10 for i in range(400)], 3)[1] >= 0.96
+
+
+def test_long_items_are_searched_exactly():
+    index, share = at_the_bound([400 + i for i in range(30)], 4)
+    assert set(index.repeats) == {0} and share == 1
+
+
+def test_first_and_last_words_of_documents():
+    items = [(1, " ".join(f"w{k}" for k in range(20)))]
+    index = Index(items)
+    texts = [[index.of.get(w.encode(), 0) for w in t.split()] for t in
+             (items[0][1], "odd " + items[0][1], " ".join(items[0][1].split()[1:]), " ".join(items[0][1].split()[:-3]), "", "w1 w2")]
+    assert [[(e, a) for _, e, a in f] for f in index.found(texts)] == [[(0, 0)], [(0, 1)], [(1, 0)], [(3, 0)], [], []]
