@@ -1,14 +1,17 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block element.  A line's weight is the
-length of its text; what stands in menus, headers, footers, sidebars,
-notices, adverts, forms or comments weighs nothing, and where the page marks
-an article, neither does what lies outside it.  Weights are summed over
-sliding windows of ``WINDOW`` lines.  Text surges where a window rises from
-nothing and dives where it falls back to nothing; the weighted lines between
-a surge and its dive are kept.  On pages without a marked article only the
-runs whose fullest window reaches ``SHARE`` of the page's fullest are kept,
-and lines that are mostly links weigh nothing.
+length of its text.  Tags only change weights: what stands in menus, headers,
+footers, sidebars, notices, adverts, forms or comments weighs nothing, lines
+outside a marked article (``<article>``, ``<main>``) weigh nothing if they
+are mostly links, and ``OUTSIDE`` of their length if the page has one.
+Weights are summed over sliding windows of ``WINDOW`` lines, apart inside and
+outside of articles; what is set aside inside an article does not part it.
+Text surges where a window rises from nothing and dives where it falls back
+to nothing.  On every page the weighted lines between a surge and its dive
+are kept if their fullest window reaches the page's level: ``SHARE`` of the
+window in which the page's median character stands, ``ENOUGH`` at most, so
+that one long paragraph does not raise it.
 
 Defined results: null or empty html gives an empty text; unclosed and cut off
 tags end with the page; ids and urls pass through, null or repeated; other
@@ -20,6 +23,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +33,9 @@ from bankmart.llm.common import ship
 
 WINDOW = 3
 SHARE = 0.3
+ENOUGH = 80
 LINKS = 0.6
+OUTSIDE = 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -125,21 +131,37 @@ def lines_of(page: str) -> list[tuple[str, bool, bool, float]]:
     return lines
 
 
+def level(weights: list[float], sums: list[float]) -> float:
+    """Least of the fullest windows that are kept."""
+    half, seen = sum(weights) / 2, 0.0
+    for total, weight in sorted(zip(sums, weights, strict=True)):
+        seen += weight
+        if seen >= half:
+            return min(SHARE * total, ENOUGH)
+    return 0.0
+
+
 def main_text(page: str | None) -> str:
-    lines = lines_of(page or "")
-    marked = any(inside and not aside for _, aside, inside, _ in lines)
-    weights = [0 if aside or (not inside if marked else links > LINKS) else len(text) for text, aside, inside, links in lines]
-    sums = [sum(weights[max(0, i - WINDOW // 2):i + WINDOW // 2 + 1]) for i in range(len(weights))]
-    least = 0 if marked else SHARE * max(sums, default=0)
+    lines = [x for x in lines_of(page or "") if not (x[1] and x[2])]
+    marked = any(inside for _, _, inside, _ in lines)
+    weights = [0 if aside or not inside and links > LINKS else len(text) * (OUTSIDE if marked and not inside else 1)
+               for text, aside, inside, links in lines]
+    sums: list[float] = []
+    edges: set[int] = set()  # where an article begins or ends
+    for _, part in groupby(range(len(lines)), lambda i: lines[i][2]):
+        at = list(part)
+        edges.add(at[0])
+        sums += [sum(weights[max(at[0], i - WINDOW // 2):min(at[-1], i + WINDOW // 2) + 1]) for i in at]
+    least = level(weights, sums)
     kept: list[str] = []
     surge = None
     for i, total in enumerate([*sums, 0]):
-        if total and surge is None:
-            surge = i
-        elif not total and surge is not None:  # the dive
+        if surge is not None and (not total or i in edges):  # the dive
             if max(sums[surge:i]) >= least:
                 kept += [lines[j][0] for j in range(surge, i) if weights[j]]
             surge = None
+        if total and surge is None:
+            surge = i
     return "\n\n".join(kept)
 
 

@@ -67,3 +67,37 @@ def test_articles_of_the_table(spark):
         want[r.page_id] = "\n\n".join(b for b in blocks if b)
     got = {r.page_id: r.text for r in extract_main_text(df.withColumnRenamed("url", "x").selectExpr("*", "'u' url", "1 text")).collect()}
     assert got == want
+
+
+LONG = "Main text in sentences of a page that has some length, told at leisure. " * 4
+
+
+def paragraphs(n, name="div"):
+    return [f"{i} {LONG}".strip() for i in range(n)], "".join(f"<{name}>{i} {LONG}</{name}>" for i in range(n))
+
+
+def test_a_teaser_is_not_the_main_text():
+    want, body = paragraphs(6)
+    page = f'<body><nav><a href="/">Home</a></nav><div>{body}</div><article><h3>Read next</h3><p>A teaser.</p></article><footer>me</footer>'
+    assert main_text(page).split("\n\n") == want
+    assert main_text(page.replace("article", "main")).split("\n\n") == want
+
+
+def test_windows_choose_beside_an_article():
+    want, body = paragraphs(6, "p")
+    page = f"<body><div>Your edition: world</div><article>{body}</article><div>Terms of use</div><div><a href='/'>{LONG}</a></div></body>"
+    assert main_text(page).split("\n\n") == want
+
+
+def test_an_article_is_not_parted_by_what_is_set_aside_in_it():
+    want, body = paragraphs(3, "p")
+    aside = "<aside><p>a<p>b<p>c<p>d</aside>"
+    assert main_text(f"<article>{body}{aside}<p>End.</p></article>").split("\n\n") == [*want, "End."]
+
+
+def test_unmarked_pages_with_one_long_paragraph():
+    links = "".join(f"<p><a href='/{i}'>link {i}</a></p>" for i in range(4))
+    short = "A paragraph of ordinary length that stands by itself between links, some eighty characters and more."
+    long = (LONG * 30).strip()
+    page = f"<body><div>{short}</div>{links}<div>{long}</div>{links}<div>{short}</div>{links}<div>Tiny note</div></body>"
+    assert main_text(page).split("\n\n") == [short, long, short]
