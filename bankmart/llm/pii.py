@@ -6,10 +6,13 @@ digits with separators, and tokens that look like addresses or secrets.  A
 candidate has categorical features of its format and of the text before it.
 All candidates of all documents are grouped by their features into a table
 of counts, with those that pass a strict check (Luhn, octets, a full address,
-a known form of key) as positives; gradient boosting fits trees of depth two
-to the table, whose size is bounded by the features and not by the data.  A
-kind's threshold is the least score from which ``PRECISION`` of the table's
-candidates are positives; candidates from there on are spans too.
+a known form of key or of a national phone number) as positives, and as weak
+positives grouped numbers of 7 to 15 digits after a word for phones; gradient
+boosting, in which every kind weighs the same, fits trees of depth two to the
+table, whose size is bounded by the features and not by the data.  A kind's
+threshold is the least score from which ``PRECISION`` of the table's
+candidates are positives, however many they are; candidates from there on are
+spans too.  Keys and phone numbers of a known form are spans at any score.
 
 Positions count code points, ends are exclusive.  Repeated groups in the
 patterns are possessive, which changes no match and bounds the matcher's
@@ -32,7 +35,6 @@ KINDS = ("email", "ip", "card", "phone", "secret", "number")
 PRECISION = 0.9
 ROUNDS = 30
 RATE = 0.4
-LEAST_SUPPORT = 20
 
 _LOCAL = "A-Za-z0-9._%+-"
 #: The base patterns; each equals the plain pattern of its kind.
@@ -49,6 +51,15 @@ GENERATORS = (
     r"|(?i:password|passwd|token|secret|api[_-]?key)[\"']? ?[=:] ?[\"']?[A-Za-z0-9+/_-]{8,}"
     r"|(?<![A-Za-z0-9])[A-Z]{4}[0-9A-Z]{16}(?![A-Za-z0-9])",
 )
+#: Forms of phone numbers without +, and of dates, which have similar ones.
+PHONES = (
+    r"\A\([0-9]{1,5}\)[ .-]?[0-9]{2,}(?:[ .-][0-9]{2,})*+\z",
+    r"\A0[0-9]{1,4}(?:[ ./-][0-9]{2,})++\z",
+    r"\A[2-9][0-9]{2}([ .-])[0-9]{3}\1[0-9]{4}\z",
+)
+DATE = r"\A\(?(?:[0-9]{4}([./-])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./-])[0-9]{1,2}\2[0-9]{2,4})(?![0-9])"
+#: Keys of a known form.
+SECRET = r"\AAKIA|[=:] ?[\"']?(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}"
 CONTEXTS = (
     r"(?i)phone|tel|call|mobile|fax", r"(?i)card|visa|account|iban|konto|cuenta|compte", r"(?i)pass|token|secret|key",
     r"(?i)mail|contact", r"(?i)\bip\b|addr|host|server",
@@ -128,22 +139,29 @@ def _features(text: Column, s: Column, generator: int) -> Column:
     before = F.substr(text, F.greatest(s["start"] - 23, F.lit(1)).cast("int"), F.least(s["start"], F.lit(24)).cast("int"))
     groups = F.least(F.size(F.split(t, "[^0-9]+")), F.lit(6))
     strict_ip = t.rlike(r"\A[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+\z")
+    context = _first_of(*[(before.rlike(c), i) for i, c in enumerate(CONTEXTS)], otherwise=len(CONTEXTS))
     if generator == 0:
         kind = _first_of((strict_ip, 1), (t.rlike(r"\A[+(]"), 3), (digits.between(12, 19), 2), otherwise=5)
+        after = F.substr(text, (s["end"] + 1).cast("int"), F.lit(1))
+        alone = ~before.rlike(r"[\w.]\z") & ~after.rlike(r"\w") & ~t.rlike(DATE)
+        paren, trunk, plain = (t.rlike(form) for form in PHONES)
+        grouped = t.rlike(r"\A\(?[0-9]++(?:[ ().-]++[0-9]++)++\z") & digits.between(7, 15)
+        national = (t.startswith("(") | (kind == 5)) & alone
+        known = national & ((paren & digits.between(7, 15)) | (trunk & digits.between(9, 15)) | plain)
         positive = F.when(strict_ip, _octets(t)).when(t.rlike(r"\A\+"), digits.between(9, 15)).otherwise(
-            t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(_digits(t)))
+            known | (national & grouped & (context == 0)) | (t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(_digits(t))))
     else:
         kind = _first_of((t.rlike(r"@|\(at\)|\[at\]"), 0), otherwise=4)
-        positive = t.rlike(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z|\AAKIA|[=:] ?[\"']?(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}")
+        known = (kind == 4) & t.rlike(SECRET)
+        positive = t.rlike(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z|" + SECRET)
     return F.struct(
         s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"),
         _first_of((digits < 6, 0), (digits < 9, 1), (digits < 12, 2), (digits < 16, 3), (digits < 20, 4), otherwise=5).alias("digits"),
         _first_of((t.rlike(r"\A[0-9A-Za-z]+\z"), 0), (~t.rlike("[^0-9.]"), 1), (~t.rlike("[^0-9 ]"), 2), (~t.rlike("[^0-9-]"), 3),
                   (~t.rlike("[^0-9:/]"), 4), otherwise=5).alias("separators"),
-        _first_of((t.startswith("+"), 0), (t.startswith("("), 1), (t.rlike(r"\A[0-9]"), 2), otherwise=3).alias("lead"),
+        _first_of((t.startswith("+"), 0), (t.startswith("("), 1), (t.startswith("0"), 4), (t.rlike(r"\A[0-9]"), 2), otherwise=3).alias("lead"),
         groups.alias("groups"),
-        _first_of(*[(before.rlike(c), i) for i, c in enumerate(CONTEXTS)], otherwise=len(CONTEXTS)).alias("context"),
-        positive.cast("int").alias("positive"))
+        context.alias("context"), positive.cast("int").alias("positive"), known.alias("known"))
 
 
 def with_candidates(df: DataFrame) -> DataFrame:
@@ -210,7 +228,7 @@ def thresholds(x: np.ndarray, n: np.ndarray, pos: np.ndarray, scores: np.ndarray
         rows = rows[np.argsort(-scores[rows], kind="stable")]
         share = np.cumsum(pos[rows]) / np.cumsum(n[rows])
         edge = np.append(scores[rows][1:] < scores[rows][:-1] - 1e-12, True)  # equal scores stay together
-        good = np.flatnonzero((share >= PRECISION) & (np.cumsum(n[rows]) >= LEAST_SUPPORT) & edge)
+        good = np.flatnonzero((share >= PRECISION) & edge)
         if len(good):
             out[int(kind)] = float(scores[rows][good[-1]])
     return out
@@ -223,7 +241,8 @@ def fit(df: DataFrame) -> tuple[Boosted, dict[int, float]] | None:
         return None
     x = np.array([[r[f] for f in FEATURES] for r in table])
     n, pos = np.array([r.n for r in table], float), np.array([r.pos for r in table], float)
-    model = Boosted(x, n, pos)
+    each = np.bincount(x[:, 0], n)[x[:, 0]] * len(np.unique(x[:, 0])) / n.sum()  # a rare kind is learnt too
+    model = Boosted(x, n / each, pos / each)
     return model, thresholds(x, n, pos, model.scores)
 
 
@@ -238,14 +257,16 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
 
     df = df.withColumn("base", F.array_sort(F.concat(*[numbered(i, kind) for i, kind in enumerate(BASE)])))
-    if not fitted or not fitted[1]:
+    if not fitted:
         return df.withColumn("spans", F.col("base"))
     model, least = fitted
     df = with_candidates(df)
 
     def chosen(s: Column) -> Column:
-        bound = F.coalesce(F.create_map(*[F.lit(v) for k, t in least.items() for v in (k, t - 1e-9)])[s["kind"]], F.lit(2.0))
-        return model.column(s) >= bound
+        bound = F.lit(2.0)
+        for k, t in least.items():
+            bound = F.when(s["kind"] == k, t - 1e-9).otherwise(bound)
+        return s["known"] | (model.column(s) >= bound)
 
     extra = F.transform(F.filter("candidates", chosen), lambda s: F.struct(s["start"], s["kind"].alias("kind"), s["end"]))
     return df.withColumn("spans", F.array_sort(F.array_union("base", extra))).drop("candidates")
