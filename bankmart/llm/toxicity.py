@@ -5,8 +5,10 @@
 2. A token that leetspeak, spacing or repetition may disguise becomes a
    lattice: each character offers the letters it may stand for, each run of
    one letter one or two of it, each separator nothing or a word bound, at a
-   channel cost.  Viterbi decoding under the language model restores it.
-   Runs of single letters are joined and decoded with free word bounds.
+   channel cost.  Viterbi decoding under the language model restores it,
+   a long one in overlapping pieces.  Runs of single letters or leetspeak
+   symbols, white space of any kind and length or a separator between them,
+   are joined and decoded with free word bounds.
 3. Restored words and their first 4 and 5 letters carry evidence: the
    log-odds of their document counts, less a standard error, among labelled rows.  A
    document's strongest evidence and the sum of the next two are mapped to a
@@ -57,7 +59,10 @@ CYRILLIC = str.maketrans("асеіорухкмт", "aceiopyxkmt")
 SEPARATORS = ".-_~'’·•/\\,:; "
 COST = {"same": 0.0, "leet": 1.0, "squeeze": 0.7, "drop": 0.7, "bound": 1.5, "noise": 4.0}
 
-_SPACED = re.compile(r"(?<!\w)(?:[^\W_](?:[ \t]|[.\-_*~] ?)){3,}[^\W_](?!\w)")
+#: Places of a lattice that are decoded at once; the next piece begins in the middle.
+PIECE = 128
+
+_SPACED = re.compile(r"(?<!\w)(?:[^\W_]|[@$!|+(€£*#])(?:(?:\s++|[.\-_*~]\s*+)(?:[^\W_]|[@$!|+(€£*#])){3,}(?!\w)")
 _RUN = re.compile(r"(.)\1*", re.S)
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 
@@ -130,8 +135,17 @@ class Restorer:
         core = token.strip(_EDGE)
         found = set(re.findall(r"[^\W\d_]+", core)) if not core.isalpha() else {core}
         bare = token.strip(".,;:?\"'()[]{}<>%&#…")
-        if 3 <= len(bare) <= 64 and self.disguised(bare):
-            found |= set(self.model.decode(lattice_of(bare)).split())
+        if len(bare) >= 3 and self.disguised(bare):
+            found |= self.readings(lattice_of(bare))
+        return found
+
+    def readings(self, lattice: list[list[tuple[str, float]]]) -> set[str]:
+        """Words of the reading; those at a cut are read whole in the piece beside."""
+        found: set[str] = set()
+        for k in range(0, max(1, len(lattice) - PIECE // 2), PIECE // 2):
+            words = self.model.decode(lattice[k:k + PIECE]).split()
+            first, last = int(k > 0), len(words) - (k + PIECE < len(lattice))
+            found |= set(words[first:last] if first < last else words)
         return found
 
     @staticmethod
@@ -147,7 +161,8 @@ class Restorer:
         found: set[str] = set()
         for m in _SPACED.finditer(text):
             run = re.sub(r"[\s.\-_~]", "", m[0])
-            found |= set(self.model.decode(lattice_of(run, True)).split()) | {run}
+            if re.search(r"\w", run):
+                found |= self.readings(lattice_of(run, True)) | {run}
         return found
 
 

@@ -34,3 +34,16 @@ def test_disguised_words(spark):
     assert [got[i] for i in (1006, 1007, 1008, 1009, 1011, None)] == [0] * 6
     assert {r.score for r in toxicity(df, lab.limit(0)).collect()} == {0.0}
     assert toxicity(df.limit(0), lab).collect() == []
+
+
+def test_long_and_widely_spaced_disguises(spark):
+    words = "river stone garden window letter summer winter morning evening paper table chair".split()
+    docs = [(i, " ".join(words[(i * k) % 12] for k in range(1, 9)) + (" idiot" if i % 4 == 0 else " moron" if i % 4 == 1 else ""))
+            for i in range(400)]
+    joined = ".".join(words[k % 12] for k in range(40))
+    tests = {1000: "an idi" + "o" * 70 + "t", 1001: f"{joined}.m0r0n.{joined}", 1002: "i  d  i  o  t", 1003: "m\no\nr\no\nn",
+             1004: "you m 0 r @ n, m o r o n!", 1005: "1 d ! 0 t", 1006: joined, 1007: "* * * * * | | | | |", 1008: "x." * 20000}
+    df = spark.createDataFrame(docs + list(tests.items()), "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(400)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity(df, lab).collect()}
+    assert [got[i] for i in range(1000, 1009)] == [1] * 6 + [0] * 3
