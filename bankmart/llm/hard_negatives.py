@@ -44,8 +44,8 @@ from bankmart.llm.common import ship, written
 ROWS, ANCHORS = 16_384, 8_192
 #: Components of a block at most, and of the finest segments.
 CELLS, FINEST = 1 << 22, 2
-#: Scores that are bounded at once.
-PAIRS = 1 << 21
+#: Scores that are bounded at once, and of those multiplied out at once.
+PAIRS, SLICE = 1 << 19, 1 << 13
 EXACT = float(1 << 53)
 
 
@@ -101,12 +101,21 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.asarray(pa.concat_arrays(column.chunks).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), width)
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the pairs of rows of ``a`` and ``b``, as whole numbers."""
+def _dots(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``i`` of ``a`` with rows ``j`` of ``b``."""
+    out = np.empty(len(i))
+    for lo in range(0, len(i), SLICE):
+        at = slice(lo, lo + SLICE)
+        out[at] = np.einsum("pd,pd->p", a[i[at]], b[j[at]])
+    return out
+
+
+def _exact(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The same as whole numbers, exactly."""
     largest = max(np.abs(a).max(initial=0), 1) * max(np.abs(b).max(initial=0), 1) * max(a.shape[1], 1)
     if largest < EXACT:
-        return np.einsum("pd,pd->p", a, b).astype(np.int64)
-    whole = [sum(int(u) * int(v) for u, v in zip(p, q, strict=True)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]
+        return _dots(a, i, b, j).astype(np.int64)
+    whole = [sum(int(u) * int(v) for u, v in zip(a[p].tolist(), b[q].tolist(), strict=True)) for p, q in zip(i, j, strict=True)]
     return np.array(whole, np.int64)  # fails beyond a long
 
 
@@ -127,7 +136,7 @@ class Bounds:
             np.maximum(low, mean - dev, out=low)
             np.minimum(high, mean + dev, out=high)
         else:
-            mean, dev = np.einsum("ps,ps->p", ma[i], mr[j]), np.einsum("ps,ps->p", da[i], dr[j]) + self.slack[i, j]
+            mean, dev = _dots(ma, i, mr, j), _dots(da, i, dr, j) + self.slack[i, j]
             low[i, j] = np.maximum(low[i, j], mean - dev)
             high[i, j] = np.minimum(high[i, j], mean + dev)
 
@@ -189,7 +198,7 @@ def _positives(n: int):
             alive = _refined(Bounds(anchors, pick, rows), mask,
                              lambda alive, low, high: high < _nth(low, alive, n)[:, None])
             i, r = np.nonzero(alive)
-            score = _exact(anchors.x[pick[i]], rows.x[r])
+            score = _exact(anchors.x, pick[i], rows.x, r)
             best = _best(i, score, rows.ids[r], rows.labels[r], n)
             parts.append((pick[i[best]], np.zeros(len(best), np.int64), r[best], score[best]))
         return _found(anchors, anchor_table["hash"].to_numpy(), rows, parts)
@@ -225,7 +234,7 @@ def _negatives(n: int, share: tuple[int, int]):
 
             mask = (anchors.labels[pick, None] != rows.labels[None]) & (anchors.ids[pick, None] != rows.ids[None]) & (top >= 0).any(1)[:, None]
             i, r = np.nonzero(_refined(Bounds(anchors, pick, rows), mask, drop))
-            score = _exact(anchors.x[pick[i]], rows.x[r])
+            score = _exact(anchors.x, pick[i], rows.x, r)
             for b in range(tops.shape[1]):
                 t, f = tops[pick[i], b], floors[pick[i], b]
                 hit = np.flatnonzero((t >= 0) & (score >= f) & (score <= t))
