@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from bankmart.plans import analytics, gold
 from bankmart.plans.silver import SILVER_JOBS
 from bankmart.schemas import ENTITIES
-from bankmart.sources.bronze import bronze_view, read_csv_text
+from bankmart.sources.bronze import CORRUPT, bronze_view, read_csv_text
 from bankmart.sources.lake import Lake
 
 MART_TABLES = {
@@ -24,14 +25,39 @@ MART_TABLES = {
 }
 
 
+MALFORMED = "_malformed"
+
+
 def land_bronze(lake: Lake, entities: Iterable[str] = ENTITIES) -> dict[str, int]:
-    """``raw/<entity>`` CSV files -> ``bronze/<entity>`` Parquet, untouched.
+    """``raw/<entity>`` CSV files -> ``bronze/<entity>`` Parquet, untouched; good rows landed.
 
     All cells stay the text they were, missing-value spellings included;
     ``_arrival`` (file, split, position) keeps the file order for the silver
-    dedupe and ``_corrupt`` the raw text of malformed rows.
+    dedupe.  One job writes good rows and malformed ones to partitions of their
+    own and counts both; malformed rows keep their raw text in ``_corrupt``.
     """
-    return {e: lake.write(read_csv_text(lake.spark, lake.path("raw", e), e), "bronze", e) for e in entities}
+    landed = {}
+    for e in entities:
+        text = read_csv_text(lake.spark, lake.path("raw", e), e)
+        text = text.withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
+        rows = lake.write(text, "bronze", e, [MALFORMED], {"malformed": F.count_if(MALFORMED)})
+        landed[e] = rows - quarantined(lake, e)
+    return landed
+
+
+def quarantined(lake: Lake, entity: str) -> int:
+    """Malformed rows that the last landing set aside."""
+    return lake.version("bronze", entity).counts["malformed"]
+
+
+def quarantine(lake: Lake, entity: str) -> DataFrame:
+    """The malformed rows of ``bronze/<entity>``: cells as far as they go, raw text."""
+    return lake.table("bronze", entity).where(F.col(MALFORMED)).drop(MALFORMED)
+
+
+def bronze_rows(lake: Lake, entity: str) -> DataFrame:
+    """The good rows of ``bronze/<entity>`` with missing-value spellings as null."""
+    return bronze_view(lake.table("bronze", entity).where(~F.col(MALFORMED)).drop(CORRUPT), entity)
 
 
 def build_silver(lake: Lake, bronze: dict[str, DataFrame] | None = None,
@@ -39,7 +65,7 @@ def build_silver(lake: Lake, bronze: dict[str, DataFrame] | None = None,
     """Silver jobs over the bronze tables (or the given feeds); rows written."""
     counts = {}
     for e in entities:
-        src = bronze[e] if bronze is not None else bronze_view(lake.table("bronze", e), e)
+        src = bronze[e] if bronze is not None else bronze_rows(lake, e)
         counts[e] = lake.write(SILVER_JOBS[e](src), "silver", e)
     return counts
 
@@ -61,5 +87,5 @@ def business_queries(lake: Lake) -> dict[str, DataFrame]:
 
 
 def export_marts(lake: Lake) -> dict[str, str]:
-    """Header CSV exports of the marts for dashboards."""
-    return {name: lake.export_csv(lake.table("gold", name), name, files=1) for name in MART_TABLES}
+    """Header CSV exports of the marts for dashboards, a file per partition."""
+    return {name: lake.export_csv(lake.table("gold", name), name) for name in MART_TABLES}

@@ -15,12 +15,12 @@
 * Columns are found by the header's names, in any order; a missing column or
   a file whose header differs from the first one's fails the read.
 * A row with more or fewer cells than the header is kept, parsed as far as it
-  goes, with its raw text in ``_corrupt``; ``corrupt_counts`` counts them.
+  goes, with its raw text in ``_corrupt``.  ``bronze_view`` leaves such rows
+  out, so that no half row becomes a silver row; ``corrupt_counts`` counts them.
 * Feeds are read split by split (``maxPartitionBytes``), the distributed
-  replacement of the source pipeline's 50,000-row chunks.  A quoted field that
-  holds a newline then breaks into short rows, which ``_corrupt`` shows;
-  ``splittable=False`` parses such a feed whole files at a time.  Branch
-  managers may hold one, so that small feed is read so by default.
+  replacement of the source pipeline's 50,000-row chunks, also where quoted
+  fields hold line breaks (see ``quoted_lines``).  ``splittable=False`` reads
+  whole files with Spark's own reader, for feeds with stray quotes.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from bankmart import vocab
 from bankmart.functions.cleaning import null_tokens
 from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS
+from bankmart.sources.quoted_lines import records
 
-SPLITTABLE = {"branches": False, "customers": True, "transactions": True, "loans": True}
 CORRUPT = "_corrupt"
 
 CSV_OPTIONS = {
@@ -54,30 +54,33 @@ def read_csv_text(
     paths: str | list[str],
     entity: str,
     options: dict[str, str] | None = None,
-    splittable: bool | None = None,
+    splittable: bool = True,
 ) -> DataFrame:
     """The raw CSV of ``entity``, untouched: all-STRING columns, ``_arrival``, ``_corrupt``."""
-    opts = dict(CSV_OPTIONS)
-    if SPLITTABLE[entity] if splittable is None else splittable:
-        opts["multiLine"] = "false"
-    if options:
-        opts.update(options)
-    header = spark.read.options(**opts | {"enforceSchema": "true"}).csv(paths).columns
+    opts = CSV_OPTIONS | (options or {})
+    header = spark.read.options(**opts | {"enforceSchema": "true", "multiLine": "false"}).csv(paths).columns
     missing = [c for c in BRONZE_COLUMNS[entity] if c not in header]
     if missing:
         raise ValueError(f"{entity}: the header lacks {', '.join(missing)}")
     schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
-    raw = spark.read.schema(schema).options(**opts).csv(paths)
-    arrival = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-    )
-    return raw.select(*BRONZE_COLUMNS[entity], arrival.alias(ARRIVAL), CORRUPT)
+    if splittable:
+        found = records(spark, paths, header, opts.get("sep", opts.get("delimiter", ",")))
+        arrival = F.struct("file", "block", "pos")
+        cells = F.from_csv("value", F.lit(schema.toDDL()), opts)
+        raw = found.select(cells.alias("cells"), arrival.alias(ARRIVAL)).select("cells.*", ARRIVAL)
+    else:
+        arrival = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                           F.monotonically_increasing_id().alias("pos"))
+        raw = spark.read.schema(schema).options(**opts).csv(paths).select("*", arrival.alias(ARRIVAL))
+    return raw.select(*BRONZE_COLUMNS[entity], ARRIVAL, CORRUPT)
 
 
 def bronze_view(text: DataFrame, entity: str, missing_tokens: list[str] | None = None) -> DataFrame:
-    """Untouched text with missing-value spellings as null, and ``_arrival``."""
+    """Untouched text with missing-value spellings as null, and ``_arrival``;
+    malformed rows stay behind."""
+    if CORRUPT in text.columns:
+        # Spark's own reader refuses a filter on the corrupt column alone
+        text = text.where(F.col(CORRUPT).isNull())
     tokens = vocab.NULL_TOKENS if missing_tokens is None else missing_tokens
     return text.select(*[null_tokens(c, tokens).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)
 
@@ -100,7 +103,7 @@ def read_bronze(
     entity: str,
     options: dict[str, str] | None = None,
     missing_tokens: list[str] | None = None,
-    splittable: bool | None = None,
+    splittable: bool = True,
 ) -> DataFrame:
     """Read a raw feed: all-STRING, missing-value spellings as null, ``_arrival``."""
     return bronze_view(read_csv_text(spark, paths, entity, options, splittable), entity, missing_tokens)

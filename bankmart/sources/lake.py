@@ -1,22 +1,24 @@
 """Lake layout and sinks: ``{root}/{raw,bronze,silver,gold}/{table}``.
 
 One ``root`` argument replaces the source pipeline's bucket and key strings;
-it can be any Hadoop file system URI.  Writes are whole-table overwrites of
-Parquet directories (the source pipeline overwrote one object per table).
-A lost executor's tasks run again within the job; an overwrite that fails as
-a whole must be run again, as Spark removes the old files first.
-Written tables are also the lineage cut between layers: gold reads silver
-from storage, never through the silver job's plan.
+it can be any Hadoop file system URI.  Tables are written whole, as the source
+pipeline overwrote one object per table, each write as a new version (see
+``snapshots``): a reader has the old or the new table, and a write that breaks
+off loses nothing.  Written tables are also the lineage cut between layers:
+gold reads silver from storage, never through the silver job's plan.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
-LAYERS = ("raw", "bronze", "silver", "gold")
+from bankmart.sources.snapshots import SnapshotTable, Version
+
+LAYERS = ("raw", "bronze", "silver", "gold", "state")
 
 
 @dataclass
@@ -29,23 +31,25 @@ class Lake:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def table(self, layer: str, table: str) -> DataFrame:
-        """A Parquet table of the lake (silver / gold / bronze)."""
-        return self.spark.read.parquet(self.path(layer, table))
+    def snapshots(self, layer: str, table: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.path(layer, table))
+
+    def version(self, layer: str, table: str) -> Version:
+        """The newest version with the counts observed while it was written."""
+        return self.snapshots(layer, table).version()
 
-    def write(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None) -> int:
-        """Overwrite ``layer/table`` with ``df``; returns the rows written.
+    def table(self, layer: str, table: str, version: int | None = None) -> DataFrame:
+        """A table of the lake (bronze / silver / gold), its newest version by default."""
+        return self.snapshots(layer, table).read(version)
 
-        The count is an ``Observation`` collected during the write itself, so
-        the table is not scanned a second time.
+    def write(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None,
+              counts: dict[str, F.Column] | None = None) -> int:
+        """``df`` as the new version of ``layer/table``; returns the rows written.
+
+        Rows and ``counts`` are observed during the write itself, so the table
+        is not scanned a second time.
         """
-        obs = Observation(f"{layer}_{table}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode("overwrite").format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(layer, table))
-        return int(obs.get["rows"])
+        return self.snapshots(layer, table).write(df, partition_by, counts).rows
 
     def register(self, layer: str, tables: list[str]) -> list[str]:
         """Temp views ``{layer}_{table}`` over written tables (catalog step)."""
@@ -56,24 +60,33 @@ class Lake:
             names.append(name)
         return names
 
-    def register_catalog(self, layer: str, tables: list[str]) -> list[str]:
-        """External catalog tables ``{layer}.{table}`` over the written Parquet."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    def register_catalog(self, layer: str, tables: list[str], database: str | None = None) -> list[str]:
+        """External catalog tables ``{database}.{table}`` (by default ``{layer}``) over the
+        newest versions, with their partitions found and the statistics of tables
+        and columns collected, so that joins and scans are planned by them."""
+        database = database or layer
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         names = []
         for t in tables:
-            name = f"{layer}.{t}"
+            name = f"`{database}`.`{t}`"
+            of = self.version(layer, t)
+            parted = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in of.partitions)})" if of.partitions else ""
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{self.path(layer, t)}'")
-            names.append(name)
+            self.spark.sql(f"CREATE TABLE {name} ({StructType.fromJson(of.schema).toDDL()}) USING parquet {parted} "
+                           f"LOCATION '{self.path(layer, t)}/{of.data}'")
+            if of.partitions:
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            known = [f"`{f.name}`" for f in self.spark.table(name).schema if not isinstance(f.dataType, (StructType, ArrayType, MapType))]
+            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(known)}")
+            names.append(f"{database}.{t}")
         return names
 
     def export_csv(self, df: DataFrame, name: str, files: int | None = None) -> str:
-        """Header CSV export of a gold result for dashboards.
+        """Header CSV export of a gold result for dashboards, a file per partition.
 
-        ``files`` asks for so many files (1 suits a mart, with its row per
-        branch, segment or loan group); by default every partition is one.
+        ``files`` asks for so many files instead (1 for tools that read one).
         """
         out = f"{self.root.rstrip('/')}/exports/{name}"
-        data = df.coalesce(files) if files else df
-        data.write.mode("overwrite").option("header", True).csv(out)
+        data = df.repartition(files) if files else df
+        data.write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
         return out

@@ -101,13 +101,29 @@ def count_if(cond: str) -> str:
 TOKENS = ", ".join(q(t) for t in vocab.NULL_TOKENS)
 
 
+def arriving(entity: str) -> str:
+    """The source rows of a feed, those that arrive twice with both copy numbers."""
+    spec = FEEDS[entity]
+    copies = f"unnest(CASE WHEN {spec.copies_when} THEN [1, 2] ELSE [1] END)" if spec.copies_when else "1"
+    return f"(SELECT *, {copies} AS copy_no FROM {spec.table})"
+
+
+def csv_cell(x: str) -> str:
+    quoted = f"'\"' || replace({x}, '\"', '\"\"') || '\"'"
+    return f"CASE WHEN regexp_matches({x}, '[,\"\n]') THEN {quoted} ELSE coalesce({x}, '') END"
+
+
+def malformed_lines(entity: str) -> str:
+    spec = FEEDS[entity]
+    cells = [csv_cell(f"({e})") for _, e in reversed(spec.columns)]
+    line = " || ',' || ".join(cells)
+    return (f"SELECT CASE WHEN {spec.cut_when} THEN {' || chr(44) || '.join(cells[:3])} ELSE {line} || ',surplus' END AS line "
+            f"FROM {arriving(entity)} src WHERE {spec.damaged_when}")
+
+
 def bronze_cte(entity: str) -> str:
     spec = FEEDS[entity]
-    if spec.copies_when:
-        src = (f"(SELECT *, unnest(CASE WHEN {spec.copies_when} THEN [1, 2] ELSE [1] END) AS copy_no "
-               f"FROM {spec.table})")
-    else:
-        src = f"(SELECT *, 1 AS copy_no FROM {spec.table})"
+    src = arriving(entity)
     raw_cols = ",\n    ".join(f"{e} AS {c}" for c, e in spec.columns)
     arr_cols = ", ".join(f"{e} AS _a{i}" for i, e in enumerate(spec.arrival))
     cleaned = ", ".join(f"CASE WHEN {c} IN ({TOKENS}) THEN NULL ELSE {c} END AS {c}" for c, _ in spec.columns)
@@ -606,8 +622,20 @@ def oracle_sql() -> dict[str, str]:
     out.update(rule_sql())
     out.update({f"csv_bronze_{e}": s(f"SELECT {', '.join(c for c, _ in FEEDS[e].columns)} FROM bronze_{e}", bronze=(e,)) for e in ALL})
     out.update({f"lake_silver_{e}": out[f"silver_{e}"] for e in ALL})
-    out["csv_corrupt_rows"] = s(" UNION ALL ".join(
-        f"SELECT '{e}' AS entity, count(*) AS total_rows, CAST(0 AS BIGINT) AS corrupt_rows FROM bronze_{e}" for e in ALL), bronze=ALL)
+    damaged = {e: f"count(CASE WHEN {FEEDS[e].damaged_when} THEN 1 END)" for e in ALL}
+    out["csv_corrupt_rows"] = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, count(*) + {damaged[e]} AS total_rows, {damaged[e]} AS corrupt_rows FROM {arriving(e)} src" for e in ALL)
+    out["lake_quarantine_counts"] = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, count(*) AS landed, {damaged[e]} AS set_aside, count(*) AS good_rows, {damaged[e]} AS malformed_rows "
+        f"FROM {arriving(e)} src" for e in ALL)
+    out["lake_quarantine_loans"] = f"SELECT replace(line, chr(10), ' ') AS raw_text FROM ({malformed_lines('loans')}) m"
+    out["lake_after_broken_write"] = out["silver_loans"]
+    out["lake_earlier_version"] = s(
+        "SELECT CAST(1 AS BIGINT) AS version, count(*) AS n_rows FROM silver_loans UNION ALL "
+        "SELECT CAST(2 AS BIGINT), count(*) FROM silver_loans WHERE default_flag", silver=("loans",))
+    out["catalog_tables"] = s(
+        "SELECT 'bronze' AS layer, loan_status, count(*) AS n_rows FROM bronze_loans GROUP BY loan_status UNION ALL "
+        "SELECT 'silver', loan_status, count(*) FROM silver_loans GROUP BY loan_status", bronze=("loans",), silver=("loans",))
     out["lake_rows_written"] = s(" UNION ALL ".join(
         f"SELECT '{e}' AS entity, count(*) AS rows_written, count(*) AS rows_found FROM silver_{e}" for e in ALL), silver=ALL)
     out["lake_branch_mart"] = out["gold_branch_performance"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bankmart.plans import medallion
 from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS, ENTITIES
 from bankmart.session import ensure_checkpoint_dir
-from bankmart.sources.bronze import corrupt_counts, read_bronze, read_csv_text
+from bankmart.sources.bronze import CORRUPT, corrupt_counts, read_bronze, read_csv_text
 from bankmart.sources.lake import Lake
 from testfeeds.tpch_feed import raw_feed
 
@@ -20,13 +20,23 @@ def new_lake(spark: SparkSession) -> Lake:
     return Lake(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex}")
 
 
-def write_raw(spark: SparkSession, sf_dir: str, entity: str, lake: Lake, files: int = 3) -> str:
-    """The untouched feed as CSV files in arrival order; the columns stand in
-    the reverse of the usual order, as the reader goes by name."""
+def write_raw(spark: SparkSession, sf_dir: str, entity: str, lake: Lake, files: int | None = None) -> str:
+    """The untouched feed as CSV files in arrival order, malformed rows between; the
+    columns stand in the reverse of the usual order, as the reader goes by name."""
     path = lake.path("raw", entity)
-    ordered = raw_feed(spark, sf_dir, entity).repartitionByRange(files, ARRIVAL).sortWithinPartitions(ARRIVAL)
-    (ordered.select(*reversed(BRONZE_COLUMNS[entity])).write.option("header", True).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    names = list(reversed(BRONZE_COLUMNS[entity]))
+    feed = raw_feed(spark, sf_dir, entity, damaged=True)
+    ordered = (feed.repartitionByRange(files, ARRIVAL) if files else feed.repartitionByRange(ARRIVAL)).sortWithinPartitions(ARRIVAL)
+
+    def line(*cells) -> F.Column:
+        return F.to_csv(F.struct(*cells), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+
+    damaged = F.when(F.col("_cut"), line(*names[:3])).otherwise(line(*names, F.lit("surplus").alias("_surplus")))
+    lines = F.when(F.col("_damaged"), F.array(damaged, line(*names))).otherwise(F.array(line(*names)))
+    # a partition is a file, and starts with the header
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    lines = F.when(first, F.concat(F.array(F.lit(",".join(names))), lines)).otherwise(lines)
+    ordered.select(F.explode(lines).alias("value")).write.option("lineSep", "\n").text(path)
     return path
 
 
@@ -53,10 +63,71 @@ def _lake_silver(entity: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def csv_corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and malformed rows of every feed, as its reader counts them."""
     lake = new_lake(spark)
     return corrupt_counts({e: read_csv_text(spark, write_raw(spark, sf_dir, e, lake), e) for e in ENTITIES})
 
 
+def lake_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and malformed rows as the landing counted them, beside the rows found in bronze."""
+    lake = new_lake(spark)
+    for e in ENTITIES:
+        write_raw(spark, sf_dir, e, lake)
+    landed = medallion.land_bronze(lake)
+    out = None
+    for e in ENTITIES:
+        one = lake.table("bronze", e).groupBy(medallion.MALFORMED).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum(F.when(~F.col(medallion.MALFORMED), F.col("n"))), F.lit(0)).alias("good_rows"),
+            F.coalesce(F.sum(F.when(F.col(medallion.MALFORMED), F.col("n"))), F.lit(0)).alias("malformed_rows"))
+        one = one.select(F.lit(e).alias("entity"), F.lit(landed[e]).cast("long").alias("landed"),
+                         F.lit(medallion.quarantined(lake, e)).cast("long").alias("set_aside"), "good_rows", "malformed_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def lake_quarantine_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw text of the malformed loan rows."""
+    lake = new_lake(spark)
+    write_raw(spark, sf_dir, "loans", lake)
+    medallion.land_bronze(lake, ("loans",))
+    return medallion.quarantine(lake, "loans").select(F.replace(CORRUPT, F.lit("\n"), F.lit(" ")).alias("raw_text"))
+
+
+def lake_after_broken_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver loans of a lake in which a second write broke off half way."""
+    lake = _landed(spark, sf_dir, ("loans",))
+    silver = lake.table("silver", "loans")
+    last = silver.agg(F.max("loan_id")).first()[0]
+    breaking = F.when(F.col("loan_id") == last, F.raise_error(F.lit("the write breaks off"))).otherwise(F.col("loan_id"))
+    try:
+        lake.write(silver.withColumn("loan_id", breaking.cast("string")), "silver", "loans")
+    except Exception as broken:
+        if "the write breaks off" not in str(broken):
+            raise
+    else:
+        raise AssertionError("the second write was to break off")
+    return lake.table("silver", "loans")
+
+
+def lake_earlier_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of both versions of the loan table: all loans, then the defaulted ones."""
+    lake = _landed(spark, sf_dir, ("loans",))
+    lake.write(lake.table("silver", "loans").where("default_flag"), "silver", "loans")
+    parts = [lake.table("silver", "loans", v).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(v).cast("long").alias("version"), "n_rows") for v in (1, 2)]
+    return parts[0].unionByName(parts[1])
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans by catalog name over untouched bronze and over silver: rows per status."""
+    lake = _landed(spark, sf_dir, ("loans",))
+    of = uuid.uuid4().hex
+    raw, = lake.register_catalog("bronze", ["loans"], f"bronze_{of}")
+    silver, = lake.register_catalog("silver", ["loans"], f"silver_{of}")
+    return spark.sql(f"""
+        select 'bronze' as layer, nullif(trim(loan_status), '') as loan_status, count(*) as n_rows from {raw} where not _malformed group by all
+        union all select 'silver', loan_status, count(*) from {silver} group by all""")
+
+
 def lake_rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the silver writes report, beside the rows found in the registered views."""
     lake = new_lake(spark)
@@ -83,8 +154,8 @@ def lake_export_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = medallion.MART_TABLES["loan_performance"](dict(loans=lake.table("silver", "loans")))
     lake.write(mart, "gold", "loan_performance")
     written = lake.table("gold", "loan_performance")
-    path = lake.export_csv(written, "loan_performance", files=1)
-    back = spark.read.option("header", True).csv(path)
+    path = lake.export_csv(written, "loan_performance")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return back.select(*[F.col(f.name).cast(f.dataType) for f in written.schema])
 
 
@@ -92,6 +163,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"csv_bronze_{e}": _csv_bronze(e) for e in ENTITIES},
     **{f"lake_silver_{e}": _lake_silver(e) for e in ENTITIES},
     "csv_corrupt_rows": csv_corrupt_rows,
+    "lake_quarantine_counts": lake_quarantine_counts,
+    "lake_quarantine_loans": lake_quarantine_loans,
+    "lake_after_broken_write": lake_after_broken_write,
+    "lake_earlier_version": lake_earlier_version,
+    "catalog_tables": catalog_tables,
     "lake_rows_written": lake_rows_written,
     "lake_branch_mart": lake_branch_mart,
     "lake_export_loans": lake_export_loans,

@@ -89,6 +89,8 @@ class FeedSpec:
     table: str
     columns: list[tuple[str, str]]
     arrival: list[str]
+    damaged_when: str  # rows meeting this arrive once more, with a surplus cell
+    cut_when: str  # or, meeting this too, with the first three cells of the line alone
     copies_when: str | None = None  # rows meeting this arrive twice
 
 
@@ -102,6 +104,8 @@ def _specs(pick) -> dict[str, FeedSpec]:
     BRANCHES = FeedSpec(
         entity="branches",
         table="supplier",
+        damaged_when="s_suppkey % 8 = 3",
+        cut_when="s_suppkey % 16 = 3",
         copies_when="s_suppkey % 50 = 1",
         arrival=["copy_no", "s_suppkey"],
         columns=[
@@ -139,6 +143,8 @@ def _specs(pick) -> dict[str, FeedSpec]:
     CUSTOMERS = FeedSpec(
         entity="customers",
         table="customer",
+        damaged_when="c_custkey % 29 = 2",
+        cut_when="c_custkey % 58 = 2",
         copies_when="c_custkey % 20 = 7",
         arrival=["copy_no", "c_custkey"],
         columns=[
@@ -157,7 +163,8 @@ def _specs(pick) -> dict[str, FeedSpec]:
              f"WHEN copy_no = 2 THEN upper({_KYC}) ELSE {_KYC} END"),
             ("risk_rating",
              "CASE WHEN c_acctbal < 2000 THEN 'High' WHEN c_acctbal < 6000 THEN 'Medium' ELSE 'Low' END"),
-            ("address", f"cast(c_custkey % 300 + 1 as string) || ' High Street, ' || {pick('c_nationkey % 10', CITIES)}"),
+            ("address", f"cast(c_custkey % 300 + 1 as string) || ' High Street' || CASE WHEN c_custkey % 13 = 4 THEN chr(10) || 'Flat \"2\"' "
+             f"WHEN c_custkey % 13 = 9 THEN chr(10) || chr(10) || 'Rear, ' ELSE ', ' END || {pick('c_nationkey % 10', CITIES)}"),
             ("city", pick("c_nationkey % 10", CITIES)),
             ("province", pick("c_nationkey % 4", PROVINCES)),
             ("post_code",
@@ -191,6 +198,8 @@ def _specs(pick) -> dict[str, FeedSpec]:
     TRANSACTIONS = FeedSpec(
         entity="transactions",
         table="lineitem",
+        damaged_when="l_partkey % 61 = 8",
+        cut_when="l_partkey % 122 = 8",
         copies_when=None,
         # order within a key: the key columns (order, line) are equal there,
         # so the remaining columns make the order total (ties are equal rows)
@@ -207,7 +216,7 @@ def _specs(pick) -> dict[str, FeedSpec]:
              "WHEN l_partkey % 97 = 1 THEN 'BR' || cast(l_suppkey + 900000 as string) "
              "ELSE 'BR' || cast(l_suppkey as string) END"),
             ("transaction_date", "cast(cast(l_shipdate as date) as string)"),
-            ("transaction_type", pick("l_partkey % 9", TX_TYPES)),
+            ("transaction_type", pick("l_partkey % 9", TX_TYPES) + " || CASE WHEN l_partkey % 17 = 3 THEN ',' || chr(10) || 'see \"note\"' ELSE '' END"),
             ("balance_after_transaction",
              "CASE WHEN l_partkey % 211 = 5 THEN 'N/A' "
              "WHEN l_partkey % 211 = 9 THEN 'abc' "
@@ -239,12 +248,14 @@ def _specs(pick) -> dict[str, FeedSpec]:
     LOANS = FeedSpec(
         entity="loans",
         table="orders",
+        damaged_when="o_orderkey % 43 = 7",
+        cut_when="o_orderkey % 86 = 7",
         copies_when="o_orderkey % 50 IN (3, 4, 5)",
         arrival=["copy_no", "o_orderkey"],
         columns=[
             ("loan_id", "'LOAN' || cast(o_orderkey as string)"),
             ("customer_id", "'CUST' || cast(o_custkey as string)"),
-            ("loan_type", pick("o_orderkey % 4", LOAN_TYPES)),
+            ("loan_type", pick("o_orderkey % 4", LOAN_TYPES) + " || CASE WHEN o_orderkey % 31 = 6 THEN chr(10) || 'second charge' ELSE '' END"),
             ("principal_amount", f"cast({_PRINCIPAL} as string)"),
             ("interest_rate",
              "CASE WHEN o_orderkey % 20 = 9 THEN NULL "
@@ -296,8 +307,9 @@ def feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return text.select(*[null_tokens(c, vocab.NULL_TOKENS).alias(c) for c in BRONZE_COLUMNS[entity]], ARRIVAL)
 
 
-def raw_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """The feed as it stands in a raw file, missing-value spellings included."""
+def raw_feed(spark: SparkSession, sf_dir: str, entity: str, damaged: bool = False) -> DataFrame:
+    """The feed as it stands in a raw file, missing-value spellings included; with
+    ``damaged``, columns ``_damaged`` and ``_cut`` tell rows that arrive once more, malformed."""
     spec = FEEDS[entity]
     src = spark.read.parquet(f"{sf_dir.rstrip('/')}/{spec.table}.parquet")
     if spec.copies_when:
@@ -306,7 +318,8 @@ def raw_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     else:
         src = src.withColumn("copy_no", F.lit(1))
     arrival = F.struct(*[F.expr(e).alias(f"a{i}") for i, e in enumerate(spec.arrival)])
-    return src.select(*[F.expr(e).alias(c) for c, e in spec.columns], arrival.alias(ARRIVAL))
+    more = [F.expr(spec.damaged_when).alias("_damaged"), F.expr(spec.cut_when).alias("_cut")] if damaged else []
+    return src.select(*[F.expr(e).alias(c) for c, e in spec.columns], arrival.alias(ARRIVAL), *more)
 
 
 class Feeds(dict):
