@@ -14,18 +14,17 @@ batch of remainders whatever the size of the table.
 
 Defined results: null text counts as empty, and an empty document is its end
 id alone; null or repeated document ids are packed like any other row; an
-empty table gives no pieces; other columns of the input are ignored.  The
-special strings of a vocabulary file are ordinary text.
+empty table gives no pieces; other columns of the input are ignored; very
+long texts fill windows of their own and leave one remainder; pieces of equal
+length are dealt in the order in which they come.  The special strings of a
+vocabulary file become the ids that the ``tokenizers`` library gives them.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import re
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +36,14 @@ from bankmart.llm.common import ship
 
 WINDOW = 1024
 #: A remainder is halved while its half is at least so long.
-SMALLEST = 16
+SMALLEST = 32
 #: Pieces of a batch that is partitioned at once.
-BATCH = 3000
-#: Word pieces a worker remembers.
-REMEMBERED = 400_000
+BATCH = 800
+#: Bytes of ids in a record batch, about.
+BYTES = 32 << 20
 
 #: The pattern that splits text before merges (fixed by the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_BESIDE_SPACE = re.compile(r"\s | \s|\A | \Z")
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
@@ -59,11 +57,11 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder(dict):
+class Encoder:
     """Byte-level BPE ids of a ``tokenizers`` vocabulary file.
 
-    A single space between two visible characters always starts a new token
-    run, so a text is encoded space by space and equal runs are looked up.
+    Merges run through ``tiktoken`` with the file's ranks; a text with one of
+    the vocabulary's special strings goes to the library itself.
     """
 
     def __init__(self, path: str):
@@ -71,26 +69,21 @@ class Encoder(dict):
 
         with open(path, encoding="utf-8") as fh:
             spec = json.load(fh)
-        special = {t["content"] for t in spec.get("added_tokens", [])}
+        self.path = path
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
         of = _byte_of_char()
-        ranks = {bytes(of[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in special}
+        ranks = {bytes(of[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in self.special}
         self.bpe = tiktoken.Encoding("pack", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.library = None
 
-    def __missing__(self, run: str) -> list[int]:
-        ids = self.bpe.encode_ordinary(" " + run)
-        if len(run) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[run] = ids
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        if not any(s in text for s in self.special):
+            return self.bpe.encode_to_numpy(text)
+        if self.library is None:
+            from tokenizers import Tokenizer
 
-    def encode(self, text: str) -> array:
-        if _BESIDE_SPACE.search(text):
-            return array("I", self.bpe.encode_ordinary(text))
-        first, *rest = text.split(" ")
-        out = array("I", self.bpe.encode_ordinary(first))
-        out.extend(chain.from_iterable(map(self.__getitem__, rest)))
-        return out
+            self.library = Tokenizer.from_file(self.path)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -138,9 +131,11 @@ def differencing(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(sizes: list[int], capacity: int) -> tuple[np.ndarray, int]:
-    """Window of each piece and the number of windows, none above ``capacity``."""
+    """Window of each piece and the number of windows, none above ``capacity``.
+
+    The count starts where the smallest piece leaves some room in each window."""
     arr = np.asarray(sizes, np.int64)
-    k = max(1, -(-int(arr.sum()) // capacity))
+    k = max(1, -(-int(arr.sum()) // max(1, capacity - int(arr.min()) // 4)))
     while True:
         part, sums = differencing(arr, k)
         if sums[-1] <= capacity:
@@ -164,45 +159,58 @@ def _packer(path: str, end_id: int, capacity: int, smallest: int, batch: int):
         enc = encoder(path)
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 36
-        rows: list[tuple] = []
-        pending: list[tuple] = []
-
-        def flush() -> None:
-            nonlocal sequence
-            if pending:
-                part, k = windows([p[2] for p in pending], capacity)
-                filled = [0] * k
-                for (doc, start, length, ids, total), w in zip(pending, part.tolist(), strict=True):
-                    rows.append((doc, start, length, ids, total, sequence + w, filled[w]))
-                    filled[w] += length
+        docs: list[int | None] = []
+        ids: list[np.ndarray] = []
+        pieces: list[list[int]] = []  # lengths of each document's pieces, full windows first
+        waiting = held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal sequence, waiting, held
+            counts = np.array([len(p) for p in pieces], np.int64)
+            lengths = np.concatenate(pieces).astype(np.int64)
+            doc = np.repeat(np.arange(len(docs)), counts)
+            totals = np.array([len(x) for x in ids], np.int64)
+            ends = np.cumsum(lengths)
+            start = ends - lengths - (np.cumsum(totals) - totals)[doc]
+            full = lengths == capacity
+            where, offset = np.empty(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+            where[full] = sequence + np.arange(full.sum())
+            sequence += int(full.sum())
+            rest = np.flatnonzero(~full)
+            if len(rest):
+                part, k = windows(lengths[rest], capacity)
+                order = np.argsort(part, kind="stable")
+                before = np.cumsum(lengths[rest][order]) - lengths[rest][order]
+                offset[rest[order]] = before - before[np.searchsorted(part[order], part[order])]
+                where[rest] = sequence + part
                 sequence += k
-                pending.clear()
-
-        def table() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-            rows.clear()
-            return out
+            raw = pa.py_buffer(np.concatenate(ids).astype("<u4", copy=False).tobytes())
+            bounds = np.append(0, 4 * ends)
+            names = pa.array(docs, pa.int64())
+            lo = 0
+            while lo < len(lengths):
+                hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + BYTES, "right")) - 1)
+                at = slice(lo, hi)
+                part_ids = pa.Array.from_buffers(pa.binary(), hi - lo, [
+                    None, pa.py_buffer((bounds[lo:hi + 1] - bounds[lo]).astype(np.int32).tobytes()), raw.slice(int(bounds[lo]))])
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(doc[at])), pa.array(start[at]), pa.array(lengths[at]), part_ids,
+                     pa.array(totals[doc[at]]), pa.array(where[at]), pa.array(offset[at])], schema=schema)
+                lo = hi
+            docs.clear(), ids.clear(), pieces.clear()
+            waiting = held = 0
 
         for got in batches:
             for doc, text in zip(got.column(0).to_pylist(), got.column(1), strict=True):
-                ids = enc.encode(text.as_py() or "")
-                ids.append(end_id)
-                total, at, raw = len(ids), 0, np.frombuffer(ids, np.uint32).astype("<u4").tobytes()
-                while total - at >= capacity:
-                    rows.append((doc, at, capacity, raw[4 * at:4 * (at + capacity)], total, sequence, 0))
-                    sequence, at = sequence + 1, at + capacity
-                if at < total:
-                    for length in halves(total - at, smallest):
-                        pending.append((doc, at, length, raw[4 * at:4 * (at + length)], total))
-                        at += length
-                if len(pending) >= batch:
-                    flush()
-                if len(rows) >= 4000:
-                    yield table()
-        flush()
-        if rows:
-            yield table()
+                own = np.append(enc.encode(text.as_py() or ""), np.uint32(end_id))
+                full, rest = divmod(len(own), capacity)
+                cut = halves(rest, smallest) if rest else []
+                docs.append(doc), ids.append(own), pieces.append([capacity] * full + cut)
+                waiting, held = waiting + len(cut), held + 4 * len(own)
+                if waiting >= batch or held >= BYTES:
+                    yield from flush()
+        if docs:
+            yield from flush()
 
     return pack
 

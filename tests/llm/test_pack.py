@@ -16,7 +16,6 @@ def expected_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return [[*e.ids, 0] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -46,7 +45,8 @@ def check(rows, docs):
 
 def test_edge_cases(spark):
     docs = [(1, None), (2, ""), (3, "a  b \n c"), (4, "x " * 5000), (5, " lead"), (6, "trail "), (7, "<|endoftext|> it's 1,000 ok"),
-            (8, "été " * 900), (9, "same"), (10, "same"), (11, "q" * 3000), (12, "a\n\nb\tc \t d")]
+            (8, "été " * 900), (9, "same"), (10, "same"), (11, "q" * 3000), (12, "a\n\nb\tc \t d"),
+            (13, "<|endoftext|>"), (14, "<|endoftext|> hi"), (15, "x<|endoftext|><|endoftext|> \n<|endoftext"), (16, "<|endoftext|>y " * 800)]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 ids", "'x' start")
     check(pack_pieces(df).collect(), docs)
     assert pack_pieces(df.limit(0)).collect() == []
