@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import os
 
 import duckdb
+import pytest
 
 from bankmart.llm import queries
 from bankmart.llm.html_extract import extract_main_text, main_text
@@ -33,6 +35,35 @@ def test_magic_inside_payload_is_only_a_candidate(spark, scratch):
     assert sorted(r.page_id for r in read_warc(spark, f"{scratch}/w").collect()) == list(range(40))
 
 
+def test_pages_of_one_id_with_different_payloads(spark):
+    a, b = "a" * 2000, "b" * 3000
+    df = spark.createDataFrame([(1, "u", a), (5, "u", a), (5, "u", b), (2, "u", b), (9, "u", a), (9, "u", a)], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.payload_bytes, r.payload_digest[:4], r.record_type, r.refers_to) for r in round_trip(df).collect())
+    x, y = (hashlib.sha1(t.encode()).hexdigest()[:4] for t in (a, b))
+    assert got == sorted([(1, 2000, x, "revisit", 9), (5, 2000, x, "revisit", 9), (5, 3000, y, "response", None), (2, 3000, y, "revisit", 5),
+                          (9, 2000, x, "response", None), (9, 2000, x, "response", None)], key=lambda r: r[:4])
+
+
+def test_a_chain_that_breaks_fails_the_read(spark, scratch):
+    write_warc(spark.createDataFrame([(i, "u", "text") for i in range(9)], "page_id long, url string, html string").coalesce(1), f"{scratch}/w")
+    part, = [f for f in os.listdir(f"{scratch}/w") if f.startswith("part-")]
+    with open(f"{scratch}/w/{part}", "rb") as fh:
+        raw = fh.read()
+    os.makedirs(f"{scratch}/cut")
+    with open(f"{scratch}/cut/a.warc", "wb") as fh:
+        fh.write(raw[:-7])
+    with pytest.raises(ValueError, match="a.warc"):
+        read_warc(spark, f"{scratch}/cut")
+
+
+def test_many_repeated_payloads(spark):
+    df = spark.range(3000).selectExpr("id as page_id", "'u' as url", "repeat(cast(id % 700 as string) || '-', 600) as html")
+    got = round_trip(df).collect()
+    assert len(got) == 3000
+    assert all((r.refers_to or r.page_id) % 700 == r.page_id % 700 and (r.record_type == "response") == (r.page_id + 700 >= 3000) for r in got)
+    assert all(r.payload_digest == hashlib.sha1(f"{r.page_id % 700}-".encode() * 600).hexdigest() for r in got)
+
+
 def test_warc_against_sql(spark):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
