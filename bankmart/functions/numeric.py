@@ -85,11 +85,16 @@ def money_sum(c: str | Column, scale: int = 2) -> Column:
     return rounded_total(F.sum(exact_units(c)), F.sum(not_finite(c)), scale)
 
 
+def rounded_mean(units: Column, n: Column, odd: Column, scale: int) -> Column:
+    """A mean from the sums and the count of ``exact_units`` and the sum of ``not_finite``."""
+    den = n * (10 ** (DECIMALS - scale))
+    return F.coalesce(odd, div_half_up(units, den).cast("double") / (10 ** scale))
+
+
 def mean_round(c: str | Column, scale: int) -> Column:
     """Exact ``round(avg(c), scale)`` (half-up), as DOUBLE (null if no values)."""
     units = exact_units(c)
-    den = F.count(units) * (10 ** (DECIMALS - scale))  # the same rows as the sum
-    return F.coalesce(F.sum(not_finite(c)), div_half_up(F.sum(units), den).cast("double") / (10 ** scale))
+    return rounded_mean(F.sum(units), F.count(units), F.sum(not_finite(c)), scale)
 
 
 def ratio_pct(num: str | Column, den: str | Column, scale: int = 2) -> Column:

@@ -21,7 +21,7 @@ from bankmart.session import staged
 BINS = 4096
 
 
-def _middle(hist: DataFrame) -> float | None:
+def middle(hist: DataFrame) -> float | None:
     """Median of a staged histogram (v, n) without nulls and NaN."""
     finite = F.abs("v") < float("inf")
     whole = hist.agg(F.sum("n").alias("n"), F.min(F.when(finite, F.col("v"))).alias("lo"), F.max(F.when(finite, F.col("v"))).alias("hi"),
@@ -63,7 +63,7 @@ def exact_median(df: DataFrame, column: str, alias: str = "median") -> DataFrame
     in the middle it is the mean that floating point gives.
     """
     v = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    value = _middle(staged(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "histogram"))
+    value = middle(staged(v.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "histogram"))
     return df.sparkSession.range(1).select(F.lit(value).cast("double").alias(alias))
 
 

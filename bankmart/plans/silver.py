@@ -22,11 +22,16 @@ rounding is last, as in the source.
 
 Each job is row-local work plus one shuffle (the dedupe).  The jobs with a
 median fill stage the deduplicated table: the median is taken from its one
-column and the fill reads it again, so the dedupe runs once.
+column and the fill reads it again, so the dedupe runs once.  ``STEPS`` has the
+parts of each job around its dedupe, for tables that grow by increments
+(``plans/incremental.py``): all but the median fill is local to a row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from bankmart import vocab
@@ -63,19 +68,24 @@ def type_branches(df: DataFrame) -> DataFrame:
     })
 
 
-def silver_branches(bronze: DataFrame) -> DataFrame:
-    deduped = (
-        bronze.transform(dedupe_keep_first, KEYS["branches"])
-        .transform(type_branches)
-        .withColumns({
-            "branch_type": standardise("branch_type", vocab.BRANCH_TYPE_MAP),
-            "branch_manager": strip_ws("branch_manager"),
-        })
-    )
-    filled = fill_median(staged(deduped, "branches-first"), "no_of_staff")
+def clean_branches_rows(first: DataFrame) -> DataFrame:
+    """The row-local part of the branch job."""
+    return first.transform(type_branches).withColumns({
+        "branch_type": standardise("branch_type", vocab.BRANCH_TYPE_MAP),
+        "branch_manager": strip_ws("branch_manager"),
+    })
+
+
+def fill_branches(cleaned: DataFrame) -> DataFrame:
+    filled = fill_median(cleaned, "no_of_staff")
     return _finish(reject_values(filled, "post_code", vocab.INVALID_POSTCODES), "branches")
 
 
+def silver_branches(bronze: DataFrame) -> DataFrame:
+    deduped = bronze.transform(dedupe_keep_first, KEYS["branches"])
+    return fill_branches(staged(clean_branches_rows(deduped), "branches-first"))
+
+
 def type_customers(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "date_of_birth": to_date("date_of_birth"),
@@ -96,9 +106,13 @@ def clean_customers_rows(bronze: DataFrame) -> DataFrame:
     )
 
 
+def fill_customers(cleaned: DataFrame) -> DataFrame:
+    return _finish(fill_median(cleaned, "annual_income"), "customers")
+
+
 def silver_customers(bronze: DataFrame) -> DataFrame:
     deduped = clean_customers_rows(bronze).transform(dedupe_keep_first, KEYS["customers"])
-    return _finish(fill_median(staged(deduped, "customers-first"), "annual_income"), "customers")
+    return fill_customers(staged(deduped, "customers-first"))
 
 
 def type_transactions(df: DataFrame) -> DataFrame:
@@ -137,10 +151,10 @@ def type_loans(df: DataFrame) -> DataFrame:
     return df.withColumns(typed)
 
 
-def silver_loans(bronze: DataFrame) -> DataFrame:
-    deduped = bronze.transform(dedupe_keep_first, KEYS["loans"])
-    cleaned = (
-        deduped.transform(type_loans)
+def clean_loans_rows(first: DataFrame) -> DataFrame:
+    """The row-local part of the loan job."""
+    return (
+        first.transform(type_loans)
         .withColumn("loan_status", standardise("loan_status", vocab.LOAN_STATUS_MAP))
         .withColumn("interest_rate", null_outside("interest_rate", vocab.RATE_MIN, vocab.RATE_MAX))
         .transform(drop_missing, "issue_date")
@@ -148,9 +162,32 @@ def silver_loans(bronze: DataFrame) -> DataFrame:
         .withColumn("balance", null_if_greater("balance", "principal_amount"))
         .withColumns({c: round_half_even(c, 2) for c in LOAN_NUMERIC})
     )
-    return _finish(cleaned, "loans")
 
 
+def silver_loans(bronze: DataFrame) -> DataFrame:
+    return _finish(bronze.transform(dedupe_keep_first, KEYS["loans"]).transform(clean_loans_rows), "loans")
+
+
+@dataclass(frozen=True)
+class Steps:
+    """A silver job: ``before`` the dedupe, ``after`` it, and what ``completes`` the whole table."""
+
+    before: Callable[[DataFrame], DataFrame]
+    after: Callable[[DataFrame], DataFrame]
+    complete: Callable[[DataFrame], DataFrame]
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+STEPS = {
+    "branches": Steps(_as_is, clean_branches_rows, fill_branches),
+    "customers": Steps(clean_customers_rows, _as_is, fill_customers),
+    "transactions": Steps(clean_transactions_rows, _as_is, lambda df: _finish(df, "transactions")),
+    "loans": Steps(_as_is, clean_loans_rows, lambda df: _finish(df, "loans")),
+}
+
 SILVER_JOBS = {
     "branches": silver_branches,
     "customers": silver_customers,
@@ -165,6 +202,6 @@ def silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 __all__ = [
-    "SILVER_JOBS", "clean_customers_rows", "clean_transactions_rows", "silver",
+    "SILVER_JOBS", "STEPS", "Steps", "clean_customers_rows", "clean_transactions_rows", "silver",
     "silver_branches", "silver_customers", "silver_loans", "silver_transactions",
 ]

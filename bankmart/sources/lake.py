@@ -70,10 +70,13 @@ class Lake:
         for t in tables:
             name = f"`{database}`.`{t}`"
             of = self.version(layer, t)
+            if len(of.data) > 1:
+                raise ValueError(f"{layer}/{t} grew by increments: write it as one version first")
+            folder, = of.data
             parted = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in of.partitions)})" if of.partitions else ""
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self.spark.sql(f"CREATE TABLE {name} ({StructType.fromJson(of.schema).toDDL()}) USING parquet {parted} "
-                           f"LOCATION '{self.path(layer, t)}/{of.data}'")
+                           f"LOCATION '{self.path(layer, t)}/{folder}'")
             if of.partitions:
                 self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
             known = [f"`{f.name}`" for f in self.spark.table(name).schema if not isinstance(f.dataType, (StructType, ArrayType, MapType))]

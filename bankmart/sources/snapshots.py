@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,12 @@ class Version:
     """What a manifest says: counts are those observed while the data were written."""
 
     number: int
-    data: str
+    data: list[str]  # folders of data files
     schema: dict
     rows: int
     partitions: list[str] = field(default_factory=list)
     counts: dict[str, int] = field(default_factory=dict)
+    index: dict = field(default_factory=dict)  # what a kind of table keeps beside its data
 
 
 class Folder:
@@ -84,29 +86,76 @@ class SnapshotTable:
 
     def read(self, number: int | None = None) -> DataFrame:
         of = self.version(number)
-        return self.spark.read.schema(StructType.fromJson(of.schema)).parquet(f"{self.path}/{of.data}")
-
-    def write(self, df: DataFrame, partition_by: list[str] | None = None, counts: dict[str, F.Column] | None = None) -> Version:
-        """``df`` as the next version; rows and ``counts`` are observed as it is written."""
-        known = self.numbers()
-        number = (known[-1] if known else 0) + 1
-        data = f"data-{number:012d}-{uuid.uuid4().hex}"
+        return self._data(of, of.data)
+
+    def read_folders(self, folders: list[str], schema: StructType | str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _data(self, of: Version, folders: list[str]) -> DataFrame:
+        schema = StructType.fromJson(of.schema)
+        if not of.partitions:
+            return self.read_folders(folders, schema)
+        # Spark finds partitions below one root at a time
+        each = [self.read_folders([f], schema) for f in folders]
+        return reduce(DataFrame.unionByName, each)
+
+    @staticmethod
+    def draft(what: str, number: int) -> str:
+        """Name of a folder that no manifest has yet."""
+        return f"{what}-{number:012d}-{uuid.uuid4().hex}"
+
+    def next_number(self) -> int:
+        return max(self.numbers(), default=0) + 1
+
+    def write_folder(self, df: DataFrame, folder: str, partition_by: list[str] | None = None,
+                     counts: dict[str, F.Column] | None = None) -> dict[str, int]:
+        """Writes ``df`` to ``folder``; rows and ``counts`` as observed meanwhile."""
         seen = Observation()
         out = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (counts or {}).items()])
-        out.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{self.path}/{data}")
-        got = {n: int(v or 0) for n, v in seen.get.items()}
-        of = Version(number, data, df.schema.jsonValue(), got.pop("rows"), list(partition_by or []), got)
-        self._folder.create(f"{MANIFESTS}/{number:012d}.json", json.dumps(asdict(of)))
-        return of
+        out.write.mode("errorifexists").partitionBy(*(partition_by or [])).parquet(f"{self.path}/{folder}")
+        return {n: int(v or 0) for n, v in seen.get.items()}
+
+    def commit(self, version: Version) -> Version:
+        self._folder.create(f"{MANIFESTS}/{version.number:012d}.json", json.dumps(asdict(version)))
+        return version
+
+    def write(self, df: DataFrame, partition_by: list[str] | None = None, counts: dict[str, F.Column] | None = None,
+              index: dict | None = None) -> Version:
+        """``df`` as the next version; rows and ``counts`` are observed as it is written."""
+        number = self.next_number()
+        folder = self.draft("data", number)
+        got = self.write_folder(df, folder, partition_by, counts)
+        return self.commit(Version(number, [folder], df.schema.jsonValue(), got.pop("rows"), list(partition_by or []), got, index or {}))
+
+    def append(self, df: DataFrame, partition_by: list[str] | None = None, counts: dict[str, F.Column] | None = None) -> Version:
+        """The next version: the newest one's data and ``df``, with the same columns.
+        ``counts`` are those of ``df`` alone, ``rows`` of all."""
+        number = self.next_number()
+        old = self.version() if number > 1 else None
+        folder = self.draft("data", number)
+        got = self.write_folder(df, folder, partition_by, counts)
+        rows = got.pop("rows")
+        return self.commit(Version(number, [*(old.data if old else []), folder], df.schema.jsonValue(), rows + (old.rows if old else 0),
+                                   list(partition_by or []), got | {"added": rows}))
+
+    def added(self, since: int | None = None) -> DataFrame:
+        """The rows appended after version ``since`` (the last increment by default)."""
+        of = self.version()
+        return self._data(of, of.data[-1:] if since is None else of.data[since:])
 
     def vacuum(self, keep: int = 1) -> list[str]:
         """Removes all versions but the newest ``keep``, and what broken writes left
         behind; not while others write or read those.  Returns the folders removed."""
         known = self.numbers()
-        live = {self.version(n).data for n in known[-keep:]}
-        gone = [n for n in self._folder.names("") if n.startswith("data-") and n not in live]
+        live = {f for n in known[-keep:] for f in self._named(self.version(n))}
+        gone = [n for n in self._folder.names("") if n != MANIFESTS and n not in live]
         for n in known[:-keep]:
             self._folder.remove(f"{MANIFESTS}/{n:012d}.json")
         for name in gone:
             self._folder.remove(name)
         return gone
+
+    @staticmethod
+    def _named(version: Version) -> list[str]:
+        """All folders that a manifest names."""
+        return [*version.data, *[f for x in version.index.values() for f in (x if isinstance(x, list) else [])]]

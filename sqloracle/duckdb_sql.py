@@ -636,6 +636,9 @@ def oracle_sql() -> dict[str, str]:
     out["catalog_tables"] = s(
         "SELECT 'bronze' AS layer, loan_status, count(*) AS n_rows FROM bronze_loans GROUP BY loan_status UNION ALL "
         "SELECT 'silver', loan_status, count(*) FROM silver_loans GROUP BY loan_status", bronze=("loans",), silver=("loans",))
+    out.update({f"grown_silver_{e}": out[f"silver_{e}"] for e in ALL})
+    out["grown_loan_mart"], out["grown_customer_mart"] = out["gold_loan_performance"], out["gold_customer_segments"]
+    out["grown_branch_mart"] = out["gold_branch_performance"]
     out["lake_rows_written"] = s(" UNION ALL ".join(
         f"SELECT '{e}' AS entity, count(*) AS rows_written, count(*) AS rows_found FROM silver_{e}" for e in ALL), silver=ALL)
     out["lake_branch_mart"] = out["gold_branch_performance"]

@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmart.plans import medallion
+from bankmart.plans import incremental, medallion
 from bankmart.schemas import ARRIVAL, BRONZE_COLUMNS, ENTITIES
 from bankmart.session import ensure_checkpoint_dir
 from bankmart.sources.bronze import CORRUPT, corrupt_counts, read_bronze, read_csv_text
 from bankmart.sources.lake import Lake
+from bankmart.sources.snapshots import Folder
 from testfeeds.tpch_feed import raw_feed
 
 
@@ -159,9 +160,43 @@ def lake_export_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*[F.col(f.name).cast(f.dataType) for f in written.schema])
 
 
+def _grown(spark: SparkSession, sf_dir: str, entities: tuple[str, ...]) -> Lake:
+    """A lake that took each feed as a first file and two increments, the files' marts
+    followed after the first file and after the last."""
+    lake = new_lake(spark)
+    follow = {"loans": incremental.loan_performance, "customers": incremental.customer_segments, "transactions": incremental.follow_branch_customers}
+    for e in entities:
+        path = write_raw(spark, sf_dir, e, lake, files=3)
+        for n, name in enumerate(f for f in Folder(spark, path).names("") if f.startswith("part-")):
+            incremental.take(lake, e, f"{path}/{name}")
+            if n == 0 and e in follow:
+                follow[e](lake)
+    return lake
+
+
+def _grown_silver(entity: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: incremental.current(_grown(spark, sf_dir, (entity,)), entity)
+
+
+def grown_loan_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.loan_performance(_grown(spark, sf_dir, ("loans",)))
+
+
+def grown_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.customer_segments(_grown(spark, sf_dir, ("customers",)))
+
+
+def grown_branch_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.branch_performance(_grown(spark, sf_dir, ("branches", "transactions")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"csv_bronze_{e}": _csv_bronze(e) for e in ENTITIES},
     **{f"lake_silver_{e}": _lake_silver(e) for e in ENTITIES},
+    **{f"grown_silver_{e}": _grown_silver(e) for e in ENTITIES},
+    "grown_loan_mart": grown_loan_mart,
+    "grown_customer_mart": grown_customer_mart,
+    "grown_branch_mart": grown_branch_mart,
     "csv_corrupt_rows": csv_corrupt_rows,
     "lake_quarantine_counts": lake_quarantine_counts,
     "lake_quarantine_loans": lake_quarantine_loans,
