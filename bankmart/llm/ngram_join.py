@@ -52,7 +52,7 @@ PERCENT = 80
 CLASS = 1.6  # ratio of the size classes
 VERTICAL = 4  # fragments of the overlap counts
 BITMAP = 16  # longs of a set's bitmap
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)

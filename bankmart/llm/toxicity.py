@@ -15,16 +15,17 @@
    probability by a logistic fit on evidence from the half of
    the labelled rows that the row isn't in.
 
-The labelled sample holds at most ``LABELLED`` rows (a deterministic fraction
-of the ids when there are more) and the evidence table the ``FEATURES``
-strongest entries; both bound what the driver sees.  The language model and
-the scores cover every row and whole texts.
+The labelled sample holds at most ``LABELLED`` rows, one for each labelled id
+(a deterministic fraction of the ids when there are more); the driver sees
+counts of its words and a row of evidence for each.  The language model and
+the scores cover every row and whole texts, very long ones too.
 
 Defined results: null and empty texts get the score of no evidence; a null
 document id is never held out nor labelled; of several labels of one id a
 positive one counts, null ones don't; without labels of both kinds every
-score is the share of positive labels, or 0.  Repeated rows score alike; an
-empty table gives no rows; other columns are ignored.
+score is the share of positive labels, or 0.  Of rows that share a labelled id
+the text with the least hash is learnt from.  Repeated rows score alike; of
+readings at equal cost the first in order counts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,14 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import ship
+from bankmart.llm.common import ship, written
 
 LABELLED = 20_000
-FEATURES = 60_000
 THRESHOLD = 0.7
 #: Documents of one class that an entry of the evidence table must be in.
 SUPPORT = 3
-REMEMBERED = 500_000
+REMEMBERED = 50_000
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 SIZE = len(LETTERS) + 1  # 0 is the word bound
@@ -64,6 +64,9 @@ PIECE = 128
 
 _SPACED = re.compile(r"(?<!\w)(?:[^\W_]|[@$!|+(€£*#])(?:(?:\s++|[.\-_*~]\s*+)(?:[^\W_]|[@$!|+(€£*#])){3,}(?!\w)")
 _RUN = re.compile(r"(.)\1*", re.S)
+#: Tokens that nothing disguises.
+_LETTERS = re.compile("[a-z]+[.,;:?]*")
+_DOUBLE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 
 
@@ -131,6 +134,8 @@ class Restorer:
 
     def words(self, token: str) -> set[str]:
         """Readings of a token between spaces: as written, and restored."""
+        if _LETTERS.fullmatch(token) and not _TRIPLE.search(token) and len(_DOUBLE.findall(token)) < 3:
+            return {token.rstrip(".,;:?")}
         token = token.translate(CYRILLIC) if not token.isascii() else token
         core = token.strip(_EDGE)
         found = set(re.findall(r"[^\W\d_]+", core)) if not core.isalpha() else {core}
@@ -345,7 +350,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_id_col: str = "doc_id", label_col: str = "toxic", train_on=None,
-                 labelled: int = LABELLED, features: int = FEATURES):
+                 labelled: int = LABELLED):
     """A broadcast of trigram counts, evidence and fit; in its place the score
     of every text where the labels don't have both kinds.
 
@@ -366,7 +371,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     counts = language_model(slim)
     sc = spark.sparkContext
-    train = slim.join(F.broadcast(known), "doc_id").select("text", "cell")  # at most ``labelled`` rows of two numbers
+    train = slim.join(F.broadcast(known), "doc_id")  # at most ``labelled`` rows of two numbers
+    train = train.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"), F.min("cell").alias("cell")).select("t.text", "cell")
+    train = written(train, "toxicity-train")
     lm = sc.broadcast((counts,))
     cell_n = {r.cell: r.n for r in train.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = cell_n.get(2, 0) + cell_n.get(3, 0), cell_n.get(0, 0) + cell_n.get(1, 0)
@@ -376,10 +383,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         *[F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in range(4)])
     p, q = F.col("n2") + F.col("n3"), F.col("n0") + F.col("n1")
     lift = (p + 0.25) / (pos + 0.5) / ((q + 0.25) / (neg + 0.5))
-    rows = (counted.where(((p + q) >= 2) & (p > 0) & (lift > math.e)).withColumn("lift", lift * F.least(p, F.lit(20)))
-            .orderBy(F.desc("lift"), "feature").limit(features).drop("lift").collect())
+    rows = counted.where(((p + q) >= 2) & (p > 0) & (lift > math.e)).collect()  # words of the sample alone
+    lm.destroy()
     halves = [_weights(rows, cell_n, (1,)), _weights(rows, cell_n, (0,))]  # for a row, evidence from the other half
-    measured = train.mapInArrow(_labelled_evidence(sc.broadcast((counts, halves))), "top double, next double, cell int").collect()
+    known_halves = sc.broadcast((counts, halves))
+    measured = train.mapInArrow(_labelled_evidence(known_halves), "top double, next double, cell int").collect()
+    known_halves.destroy()
     fit = _logistic(np.array([[r.top, r.next] for r in measured]), np.array([r.cell >> 1 for r in measured], float))
     return sc.broadcast((counts, _weights(rows, cell_n, (0, 1)), fit))
 

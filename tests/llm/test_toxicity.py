@@ -2,6 +2,10 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
+import pytest
+
+from bankmart.llm import toxicity as tox
 from bankmart.llm.queries import op6_toxicity, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -47,3 +51,51 @@ def test_long_and_widely_spaced_disguises(spark):
     lab = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(400)], "doc_id long, toxic int")
     got = {r.doc_id: r.predicted for r in toxicity(df, lab).collect()}
     assert [got[i] for i in range(1000, 1009)] == [1] * 6 + [0] * 3
+
+
+def brute_reading(model, lattice):
+    """The cheapest of all readings, scored letter by letter."""
+    from itertools import product
+
+    best = None
+    for choice in product(*lattice, [(" ", 0.0)]):
+        a = b = 0
+        cost, read = 0.0, ""
+        for letters, price in choice:
+            cost += price
+            for c in letters:
+                z = tox.NUMBER.get(c, 0)
+                if z or b:
+                    cost -= model.logp[a][b][z]
+                    a, b = b, z
+            read += letters
+        if best is None or cost < best[0] - 1e-9:
+            best = (cost, read)
+    return best
+
+
+@pytest.mark.parametrize("token", ["m0r0n", "id1ot", "st.u.p", "l0ooser", "$c@m", "he||o", "4ss!", "b-a-d", "a", "x1y2", "t+e+n"])
+def test_decoding_is_the_cheapest_of_all_readings(token):
+    rng = np.random.default_rng(len(token))
+    words = ["moron", "idiot", "stupid", "loser", "scam", "hello", "ass", "bad", "ten", "the", "and"]
+    counts = np.zeros(tox.SIZE ** 3, np.int64)
+    for w in rng.choice(words, 400):
+        ids = [0, 0, *[tox.NUMBER[c] for c in w], 0]
+        for a, b, c in zip(ids, ids[1:], ids[2:], strict=False):
+            counts[(a * tox.SIZE + b) * tox.SIZE + c] += 1
+    model = tox.Model(counts)
+    for lattice in (tox.lattice_of(token), tox.lattice_of(token, free_bounds=True)):
+        want = brute_reading(model, lattice)
+        got = model.decode(lattice)
+        assert got.split() == want[1].split()
+
+
+def test_a_repeated_labelled_id_is_one_row(spark):
+    """Rows that share a labelled id count once, whatever their number and order."""
+    docs = [(i, "a fine day" if i % 2 else "you moron") for i in range(40)] + [(1, f"text {i}") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    schema = "doc_id long, text string"
+    one = tox.score_toxicity(spark.createDataFrame(docs, schema), labels).orderBy("doc_id", "score").collect()
+    two = tox.score_toxicity(spark.createDataFrame(docs[::-1], schema).repartition(7), labels).orderBy("doc_id", "score").collect()
+    assert one == two and len(one) == 340
+    assert {r.score > 0.5 for r in one if r.doc_id % 2 == 0} == {True}
