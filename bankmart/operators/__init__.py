@@ -5,6 +5,7 @@ from bankmart.operators.filters import drop_missing, reject_values
 from bankmart.operators.impute import exact_median, fill_median
 from bankmart.operators.profile import (
     count_where,
+    frequency_profile,
     null_profile,
     row_count,
     sample_rows,
@@ -12,6 +13,6 @@ from bankmart.operators.profile import (
 )
 
 __all__ = [
-    "count_where", "dedupe_keep_first", "drop_missing", "exact_median", "fill_median",
+    "count_where", "dedupe_keep_first", "drop_missing", "exact_median", "fill_median", "frequency_profile",
     "null_profile", "reject_values", "row_count", "sample_rows", "value_counts",
 ]

@@ -42,6 +42,16 @@ def value_counts(
     return out
 
 
+def frequency_profile(df: DataFrame, columns: Sequence[str], count_name: str = "n_rows") -> DataFrame:
+    """Frequency of every value of several columns: ``(column, value, count)``, null a value.
+
+    One scan: each row becomes a (column, value) pair per column, which are
+    counted before the shuffle, so that carries a row per value and task."""
+    pairs = ", ".join(f"'{c}', cast(`{c}` as string)" for c in columns)
+    long = df.select(*columns).select(F.expr(f"stack({len(columns)}, {pairs}) as (column, value)"))
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias(count_name))
+
+
 def null_profile(df: DataFrame, columns: Sequence[str], total_name: str = "total_rows") -> DataFrame:
     """Total rows plus the null count of each column, in one pass."""
     aggs = [F.count(F.lit(1)).alias(total_name)]

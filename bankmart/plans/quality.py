@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bankmart import vocab
 from bankmart.functions.cleaning import strip_ws, to_number
 from bankmart.functions.numeric import ratio_pct
-from bankmart.operators.profile import count_where, null_profile, row_count, sample_rows, value_counts
+from bankmart.operators.profile import count_where, frequency_profile, null_profile, row_count, sample_rows, value_counts
 from bankmart.schemas import ARRIVAL, ENTITIES, KEYS
 
 # ---------------------------------------------------------------- bronze ----
@@ -145,6 +145,24 @@ def dirty_rates(bronze: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+#: Columns of few values, profiled together.
+PROFILED = {
+    "branches": ["branch_type", "branch_city", "branch_province"],
+    "customers": ["gender", "kyc_status", "risk_rating", "employment_status"],
+    "transactions": ["payment_channel", "currency", "transaction_status", "fraud_flag"],
+    "loans": ["loan_status", "default_flag", "term_months"],
+}
+
+
+def frequency_profiles(tables: dict[str, DataFrame]) -> DataFrame:
+    """(entity, column, value, n_rows) of the profiled columns, one scan per table."""
+    out = None
+    for entity, columns in PROFILED.items():
+        one = frequency_profile(tables[entity], columns).select(F.lit(entity).alias("entity"), "column", "value", "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- silver ----
 
 
@@ -230,6 +248,7 @@ SILVER_CHECKS = {
     "vs_impossible_balance_count": lambda s: count_where(
         s["loans"], F.col("balance") > F.col("principal_amount"), "impossible_balance_count"),
     "vs_check_summary": check_summary,
+    "vs_frequency_profiles": frequency_profiles,
 }
 
 BRONZE_CHECKS = {
@@ -241,6 +260,7 @@ BRONZE_CHECKS = {
     "vb_invalid_rate_counts": lambda b: invalid_rate_counts(b["loans"]),
     "vb_dirty_rates": dirty_rates,
     "vb_manager_leading_space": lambda b: padded_managers(b["branches"]),
+    "vb_frequency_profiles": frequency_profiles,
 }
 
 

@@ -196,12 +196,20 @@ SILVER_JOBS = {
 }
 
 
+def silver_keys(entity: str, bronze: DataFrame) -> DataFrame:
+    """The rows of a silver table before medians fill its gaps (as many rows): what
+    counts of rows need."""
+    steps = STEPS[entity]
+    rows = steps.before(bronze).transform(dedupe_keep_first, KEYS[entity]).transform(steps.after)
+    return rows.transform(reject_values, "post_code", vocab.INVALID_POSTCODES) if entity == "branches" else rows
+
+
 def silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All four silver tables (lazy) from the four bronze feeds."""
     return {e: SILVER_JOBS[e](df) for e, df in bronze.items()}
 
 
 __all__ = [
-    "SILVER_JOBS", "STEPS", "Steps", "clean_customers_rows", "clean_transactions_rows", "silver",
+    "SILVER_JOBS", "STEPS", "Steps", "silver_keys", "clean_customers_rows", "clean_transactions_rows", "silver",
     "silver_branches", "silver_customers", "silver_loans", "silver_transactions",
 ]

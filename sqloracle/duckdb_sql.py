@@ -358,6 +358,12 @@ def value_counts(table: str, column: str, where: str | None = None, limit: int |
     return f"SELECT {expr} AS {column}, count(*) AS count FROM {table}{w} GROUP BY {expr}{lim}"
 
 
+PROFILED = {"branches": ["branch_type", "branch_city", "branch_province"],
+            "customers": ["gender", "kyc_status", "risk_rating", "employment_status"],
+            "transactions": ["payment_channel", "currency", "transaction_status", "fraud_flag"],
+            "loans": ["loan_status", "default_flag", "term_months"]}
+
+
 def scalar(table: str, cond: str, name: str) -> str:
     return f"SELECT {count_if(cond)} AS {name} FROM {table}"
 
@@ -614,6 +620,9 @@ def oracle_sql() -> dict[str, str]:
             scalar("silver_loans", "balance > principal_amount", "impossible_balance_count"),
             silver=("loans",)),
         "vs_check_summary": s(check_summary(), silver=ALL),
+        **{f"{short}_frequency_profiles": s(" UNION ALL ".join(
+            f"SELECT '{e}' AS entity, '{c}' AS column, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM {layer}_{e} GROUP BY {c}"
+            for e, cs in PROFILED.items() for c in cs), **{layer: ALL}) for short, layer in (("vb", "bronze"), ("vs", "silver"))},
         "vs_reconciliation": s("\nUNION ALL\n".join(
             f"SELECT {q(e)} AS entity, b.n AS bronze_rows, s.n AS silver_rows, b.n - s.n AS removed_rows "
             f"FROM (SELECT count(*) AS n FROM bronze_{e}) b, (SELECT count(*) AS n FROM silver_{e}) s"

@@ -122,15 +122,51 @@ def test_exact_median_with_infinities_and_wide_range(spark):
     assert _median_of(spark, [5e-324, 1e-323, 1.5e-323]) == 1e-323
 
 
-def test_exact_median_sees_few_rows_at_a_time(spark, monkeypatch):
+@pytest.mark.parametrize(("error", "picked"), [(1e-3, 2), (1e-2, 8), (0.05, 1 << 16)])
+def test_exact_median_by_several_sketches(spark, monkeypatch, error, picked):
     from bankmart.operators import impute
 
-    monkeypatch.setattr(impute, "BINS", 3)  # many narrowing steps
+    monkeypatch.setattr(impute, "ERROR", error)
+    monkeypatch.setattr(impute, "PICKED", picked)
+    monkeypatch.setattr(impute, "middle", lambda hist: pytest.fail("the sketch missed"))
+    rnd = random.Random(picked)
+    vals = [rnd.lognormvariate(0, 8) for _ in range(2001)]
+    assert _median_of(spark, vals) == float(np.median(vals))
+
+
+@pytest.mark.parametrize("hot", [900, 2001, 2002, 2500])
+def test_exact_median_where_sketches_do_not_narrow(spark, monkeypatch, hot):
+    from bankmart.operators import impute
+
+    monkeypatch.setattr(impute, "ERROR", 1e-2)
+    monkeypatch.setattr(impute, "PICKED", 1)
+    vals = [float(i) for i in range(2000)] + [1e6] * hot
+    assert _median_of(spark, vals) == float(np.median(vals))
+
+
+def test_exact_median_when_a_sketch_misses(spark, monkeypatch):
+    from bankmart.operators import impute
+
+    monkeypatch.setattr(impute.F, "percentile_approx", lambda c, ends, accuracy: F.array(F.max(c), F.max(c)))
+    monkeypatch.setattr(impute, "BINS", 3)  # many narrowing steps over the histogram
     rnd = random.Random(3)
     vals = [rnd.lognormvariate(0, 8) for _ in range(2001)]
     assert _median_of(spark, vals) == float(np.median(vals))
 
 
+def test_median_takes_two_scans_and_no_histogram(spark, monkeypatch):
+    from bankmart.operators import impute
+
+    monkeypatch.setattr(impute, "staged", lambda *a: pytest.fail("a histogram was written"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("median", "median")
+    try:
+        impute.exact_median(spark.range(100_000).selectExpr("cast(id * 7919 % 100003 as double) as v"), "v")
+        assert len(jobs.getJobIdsForGroup("median")) <= 4  # two aggregates, a shuffle's job each under AQE
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_fill_median_population_and_type(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, None), (4, 4.0), (5, 9.0)], "k int, v double")
     out = {r.k: r.v for r in fill_median(df, "v").collect()}
