@@ -127,10 +127,11 @@ def _named(turns: DataFrame, convs: DataFrame, levels: int, root: int) -> DataFr
     state = convs.where("length > 0").select("conv_id", "length", F.lit(0).cast("long").alias("block"), F.lit(root).cast("long").alias("up"))
     for j in range(levels - 1, -1, -1):
         upper = blocks[j].where("block % 2 = 0").select("conv_id", F.shiftright("block", 1).alias("block"), "digest")
-        cut = state.where(F.col("length") > (2 * F.col("block") + 1) * (1 << j)).join(upper, ["conv_id", "block"])
+        depth = (2 * F.col("block") + 1) * (1 << j)  # of the cut; members that end there count for its names, too
+        cut = state.where(F.col("length") >= depth).join(upper, ["conv_id", "block"])
         # written, so that the join shuffles both sides and Spark may split what a hot prefix makes large
         names = written(cut.groupBy("block", "up", "digest").agg(F.min("conv_id").alias("name")), "trie-cuts")
-        lower = cut.join(names, ["block", "up", "digest"]).select(
+        lower = cut.where(F.col("length") > depth).join(names, ["block", "up", "digest"]).select(
             "conv_id", "length", (2 * F.col("block") + 1).alias("block"), F.col("name").alias("up"))
         state = written(state.withColumn("block", 2 * F.col("block")).unionByName(lower), "trie-names")
     return state.select("conv_id", F.col("block").alias("level"), "up")
