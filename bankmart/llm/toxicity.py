@@ -64,9 +64,9 @@ PIECE = 128
 
 _SPACED = re.compile(r"(?<!\w)(?:[^\W_]|[@$!|+(€£*#])(?:(?:\s++|[.\-_*~]\s*+)(?:[^\W_]|[@$!|+(€£*#])){3,}(?!\w)")
 _RUN = re.compile(r"(.)\1*", re.S)
-#: Tokens that nothing disguises.
 _LETTERS = re.compile("[a-z]+[.,;:?]*")
-_DOUBLE, _TRIPLE = re.compile(r"(.)\1"), re.compile(r"(.)\1\1")
+#: One letter three times, or three letters twice.
+_REPEATED = re.compile(r"(.)\1\1|(.)\2.*(.)\3.*(.)\4")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 
 
@@ -128,13 +128,18 @@ def plain(text: str) -> str:
 _EDGE = "\"'.,;:?!()[]{}<>%&#*$…«»“”„‘’|-_=+/\\~`^"
 
 
+def undisguised(token: str) -> bool:
+    """Plain letters, perhaps before a stop: neither leetspeak nor repetition."""
+    return _LETTERS.fullmatch(token) is not None and _REPEATED.search(token) is None
+
+
 class Restorer:
     def __init__(self, model: Model):
         self.model = model
 
     def words(self, token: str) -> set[str]:
         """Readings of a token between spaces: as written, and restored."""
-        if _LETTERS.fullmatch(token) and not _TRIPLE.search(token) and len(_DOUBLE.findall(token)) < 3:
+        if undisguised(token):
             return {token.rstrip(".,;:?")}
         token = token.translate(CYRILLIC) if not token.isascii() else token
         core = token.strip(_EDGE)
@@ -253,17 +258,28 @@ def _count_features(shared):
 
 
 class Evidence(dict):
-    """Evidence of a token between spaces, remembered."""
+    """Evidence of a token between spaces, remembered; when there are many, those
+    that were met since the last time are kept."""
 
     def __init__(self, restorer: Restorer, weights: dict[str, float]):
         self.restorer, self.weights = restorer, weights
+        self.before: dict[str, float] = {}
 
     def of_word(self, word: str) -> float:
-        return max((self.weights.get(f, 0.0) for f in features_of(word)), default=0.0)
+        get, n = self.weights.get, len(word)
+        if n > 5:
+            return max(get(word, 0.0), get(word[:4] + "~", 0.0), get(word[:5] + "~", 0.0))
+        return max((get(f, 0.0) for f in features_of(word)), default=0.0)
 
     def __missing__(self, token: str) -> float:
-        value = max(map(self.of_word, self.restorer.words(token)), default=0.0)
+        value = self.before.get(token)
+        if value is None:
+            if undisguised(token):
+                value = self.of_word(token.rstrip(".,;:?"))
+            else:
+                value = max(map(self.of_word, self.restorer.words(token)), default=0.0)
         if len(self) >= REMEMBERED:
+            self.before = dict(self)
             self.clear()
         self[token] = value
         return value

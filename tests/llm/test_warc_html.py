@@ -132,3 +132,45 @@ def test_unmarked_pages_with_one_long_paragraph():
     long = (LONG * 30).strip()
     page = f"<body><div>{short}</div>{links}<div>{long}</div>{links}<div>{short}</div>{links}<div>Tiny note</div></body>"
     assert main_text(page).split("\n\n") == [short, long, short]
+
+
+def test_names_only_hint():
+    want, body = paragraphs(5, "p")
+    for wrapper in ('<div id="wrapper" class="has-sidebar">', '<div class="layout sidebar-right">', '<div class="sidebar">', '<section class="page-header main">',
+                    '<div class="widget"><div class="content">'):
+        assert main_text(f"<body>{wrapper}<nav>x</nav>{body}<div class='related-articles'><p>Read next</p></div></div></body>").split("\n\n") == want, wrapper
+        assert main_text(f"<body>{wrapper}<article>{body}</article><p>x</p></div>").split("\n\n") == want, wrapper
+    page = f'<article><div class="entry-header"><h1>Title</h1></div>{body}<p class="alert">{LONG}</p><section id="social-impact"><p>{LONG}</p></section></article>'
+    assert main_text(page).split("\n\n") == ["Title", *want, LONG.strip(), LONG.strip()]
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="share-buttons"><p>Share</p></div>', '<div id="comments"><p>first!</p></div>', '<div class="ad-slot top">Buy</div>', '<p class="advert">Buy</p>',
+    '<div class="cookieConsent">We use cookies</div>', '<div class="newsletter-signup"><p>Your mail</p></div>', '<ul class="breadcrumbs"><li>Home</ul>',
+    '<div role="complementary"><p>x</p></div>', '<div hidden><p>x</p></div>', '<section class="related-posts"><p>Read next</p></section>',
+    '<div class="comment-list">' + "<p>A long comment that says much more than what it comments on ever did.</p>" * 60 + "</div>"])
+def test_parts_that_go(part):
+    want, body = paragraphs(3, "p")
+    assert main_text(f"<body><article>{body}{part}</article></body>").split("\n\n") == want
+    assert main_text(f"<body><div><div>{body}</div></div>{part}</body>").split("\n\n") == want
+
+
+def test_attributes_as_the_language_has_them():
+    want, body = paragraphs(2, "p")
+    assert main_text(f"<article><p alt=it's>One.</p>{body}<p title='a > b' x=\"'\">Two.</p><p a'b>Three.</p><p href=/a?b=c\"d>Four.</p></article>"
+                     ).split("\n\n") == ["One.", *want, "Two.", "Three.", "Four."]
+    assert main_text(f'<article>{body}<p class = "ad" >Buy</p><p class=ad>Buy</p></article>').split("\n\n") == want
+    assert main_text(f'<article>{body}<p title="never closed>x</p></article>').split("\n\n")[:2] == want
+    assert main_text(f"<article>{body}<p>The sum <math><mi>a</mi><mo>+</mo><mn>1</mn></math> is here.</p></article>").split("\n\n")[-1] == "The sum a+1 is here."
+
+
+def test_deep_and_long_pages_take_time_in_proportion():
+    import time
+
+    took = []
+    for n in (4000, 16000):
+        page = "<div class='ad-slot'>".join(f"<div><span>{i}" for i in range(n)) + LONG * n + "<p " + "x" * n + " = " * n
+        at = time.process_time()
+        main_text(page)
+        took.append(time.process_time() - at)
+    assert took[1] < 10 * took[0] + 0.5
