@@ -2,17 +2,25 @@
 
 Base spans (email, ip, card, phone) are regular expressions with checks.
 Two broad generators propose further spans that may overlap them: runs of
-digits with separators, and tokens that look like addresses or secrets.  A
-candidate has categorical features of its format and of the text before it.
-All candidates of all documents are grouped by their features into a table
-of counts, with those that pass a strict check (Luhn, octets, a full address,
-a known form of key or of a national phone number) as positives, and as weak
-positives grouped numbers of 7 to 15 digits after a word for phones; gradient
-boosting, in which every kind weighs the same, fits trees of depth two to the
-table, whose size is bounded by the features and not by the data.  A kind's
-threshold is the least score from which ``PRECISION`` of the table's
-candidates are positives, however many they are; candidates from there on are
-spans too.  Keys and phone numbers of a known form are spans at any score.
+digits with separators, and tokens that look like addresses or secrets.
+
+Trees learn from two views of a candidate that know nothing of each other.
+The label is its context: whether a word for its kind ("tel", "card", "mail")
+stands before it.  The features are its format: kind, digits, separators,
+lead, groups, and its form (a checksum that holds, an address written out,
+and so on).  All candidates of all documents are grouped by their features into
+a table of counts; gradient boosting, in which every kind weighs the same,
+fits trees of depth two to it, whose size is bounded by the features and not by
+the data.  Personal data stand without such a word, too: how often with one is
+read off the candidates that pass their kind's strict check (Luhn, octets, a
+full address, the length of an international number), and a format's share of
+labels divided by that is the share of personal data in it.  A kind's threshold
+is the least score from which that share is ``PRECISION``, however many the
+candidates are; a kind without labels has none.  Candidates from there on are
+spans, with or without such a word.
+
+Spans at any score are keys and phone numbers of a known form, and grouped
+numbers of 7 to 15 digits after a word for phones.
 
 Positions count code points, ends are exclusive.  Repeated groups in the
 patterns are possessive, which changes no match and bounds the matcher's
@@ -20,7 +28,10 @@ stack on long texts; ``\\G`` stands for the end of the last match, where a
 match may start inside a run.
 
 Defined results: null text is empty and has no spans; null and repeated ids
-pass through; an empty table gives no rows; other columns are ignored.
+pass through; spans that start together stand in the order of their kinds; the
+places of matches are summed up in blocks of ``BLOCK``, so very long texts with
+very many matches take time in proportion; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +46,7 @@ KINDS = ("email", "ip", "card", "phone", "secret", "number")
 PRECISION = 0.9
 ROUNDS = 30
 RATE = 0.4
+BLOCK = 256
 
 _LOCAL = "A-Za-z0-9._%+-"
 #: The base patterns; each equals the plain pattern of its kind.
@@ -70,18 +82,26 @@ _SPANS = "array<struct<start:long,end:long,t:string>>"
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
     """Column ``name``: start, end and text of all matches in column ``text``."""
     df = df.withColumn("_m", F.regexp_extract_all("text", F.lit(pattern), 0))
-    gaps = F.split("text", pattern)
-    pairs = F.arrays_zip(F.transform(F.slice(gaps, 1, F.size("_m")), F.length).alias("g"), F.col("_m").alias("m"))
+    df = df.withColumn("_p", F.arrays_zip(F.transform(F.slice(F.split("text", pattern), 1, F.size("_m")), F.length).alias("g"), F.col("_m").alias("m")))
+    none = F.array().cast(_SPANS)
+
+    def block(of: str, i: Column) -> Column:
+        return F.slice(of, i * BLOCK + 1, F.lit(BLOCK))
 
     def add(acc: Column, pair: Column) -> Column:
         start = acc["at"] + pair["g"]
         end = start + F.length(pair["m"])
-        return F.struct(end.cast("long").alias("at"), F.concat(acc["found"], F.array(F.struct(
-            start.cast("long").alias("start"), end.cast("long").alias("end"), pair["m"].alias("t")))).alias("found"))
+        return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("t")))).alias("found"))
 
-    none = F.array().cast(_SPANS)
-    found = F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("found")), add, lambda acc: acc["found"])
-    return df.withColumn(name, F.when(F.size("_m") > 0, found).otherwise(none)).drop("_m")
+    blocks = F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int"))
+    zero = F.lit(0).cast("long")
+    # what lies before each block, then the places within it
+    df = df.withColumn("_s", F.when(F.size("_m") > 0, F.transform(blocks, lambda i: F.aggregate(
+        block("_p", i), zero, lambda acc, pair: acc + pair["g"] + F.length(pair["m"])))))
+    found = F.flatten(F.transform(blocks, lambda i: F.aggregate(
+        block("_p", i), F.struct(F.aggregate(F.slice("_s", F.lit(1), i), zero, lambda acc, x: acc + x).alias("at"), none.alias("found")),
+        add, lambda acc: acc["found"])))
+    return df.withColumn(name, F.when(F.size("_m") > 0, found).otherwise(none)).drop("_m", "_p", "_s")
 
 
 def _digits(t: Column) -> Column:
@@ -131,7 +151,11 @@ def _first_of(*cases: tuple[Column, int], otherwise: int) -> Column:
     return out.otherwise(otherwise)
 
 
-FEATURES = ("kind", "digits", "separators", "lead", "groups", "context")
+FEATURES = ("kind", "digits", "separators", "lead", "groups", "form")
+#: The context that names each kind.
+_CONTEXT_OF = {"email": 3, "ip": 4, "card": 1, "phone": 0, "secret": 2, "number": 0}
+#: Kinds that are told apart by their form alone share how often they have a context.
+_LIKE = {"number": "phone", "secret": "email"}
 
 
 def _features(text: Column, s: Column, generator: int) -> Column:
@@ -147,21 +171,24 @@ def _features(text: Column, s: Column, generator: int) -> Column:
         paren, trunk, plain = (t.rlike(form) for form in PHONES)
         grouped = t.rlike(r"\A\(?[0-9]++(?:[ ().-]++[0-9]++)++\z") & digits.between(7, 15)
         national = (t.startswith("(") | (kind == 5)) & alone
-        known = national & ((paren & digits.between(7, 15)) | (trunk & digits.between(9, 15)) | plain)
-        positive = F.when(strict_ip, _octets(t)).when(t.rlike(r"\A\+"), digits.between(9, 15)).otherwise(
-            known | (national & grouped & (context == 0)) | (t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(_digits(t))))
+        known = national & ((paren & digits.between(7, 15)) | (trunk & digits.between(9, 15)) | plain | (grouped & (context == 0)))
+        strict = F.when(strict_ip, _octets(t)).when(t.rlike(r"\A\+"), digits.between(9, 15)).otherwise(
+            t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(_digits(t)))
+        form = _first_of((strict, 0), (t.rlike(DATE), 1), (~alone, 2), (grouped, 3), otherwise=4)
     else:
         kind = _first_of((t.rlike(r"@|\(at\)|\[at\]"), 0), otherwise=4)
         known = (kind == 4) & t.rlike(SECRET)
-        positive = t.rlike(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z|" + SECRET)
+        strict = t.rlike(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z")
+        spelt = t.rlike(r"(?:\(at\)|\[at\]|@) ?[A-Za-z0-9-]") & t.rlike(r"\.[A-Za-z]{2,24}\z")
+        form = _first_of((strict, 0), (spelt, 1), (t.rlike(r"(?:\(at\)|\[at\]|@)"), 2), (known, 3), otherwise=4)
+    own = F.array(*[F.lit(_CONTEXT_OF[k]) for k in KINDS])[kind]
     return F.struct(
         s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"),
         _first_of((digits < 6, 0), (digits < 9, 1), (digits < 12, 2), (digits < 16, 3), (digits < 20, 4), otherwise=5).alias("digits"),
         _first_of((t.rlike(r"\A[0-9A-Za-z]+\z"), 0), (~t.rlike("[^0-9.]"), 1), (~t.rlike("[^0-9 ]"), 2), (~t.rlike("[^0-9-]"), 3),
                   (~t.rlike("[^0-9:/]"), 4), otherwise=5).alias("separators"),
         _first_of((t.startswith("+"), 0), (t.startswith("("), 1), (t.startswith("0"), 4), (t.rlike(r"\A[0-9]"), 2), otherwise=3).alias("lead"),
-        groups.alias("groups"),
-        context.alias("context"), positive.cast("int").alias("positive"), known.alias("known"))
+        groups.alias("groups"), form.alias("form"), (context == own).cast("int").alias("named"), known.alias("known"))
 
 
 def with_candidates(df: DataFrame) -> DataFrame:
@@ -220,13 +247,26 @@ class Boosted:
         return F.lit(1.0) / (F.exp(-total) + 1)
 
 
-def thresholds(x: np.ndarray, n: np.ndarray, pos: np.ndarray, scores: np.ndarray) -> dict[int, float]:
-    """Least score of each kind from which PRECISION of the candidates are positives."""
+def named_shares(x: np.ndarray, n: np.ndarray, pos: np.ndarray) -> dict[int, float]:
+    """How often a kind's personal data stand after a word for it: among the
+    candidates that pass its strict check (form 0)."""
     out = {}
+    for k, kind in enumerate(KINDS):
+        rows = (x[:, 0] == KINDS.index(_LIKE.get(kind, kind))) & (x[:, 5] == 0)
+        if pos[rows].sum():
+            out[k] = float(pos[rows].sum() / n[rows].sum())
+    return out
+
+
+def thresholds(x: np.ndarray, n: np.ndarray, pos: np.ndarray, scores: np.ndarray) -> dict[int, float]:
+    """Least score of each kind from which PRECISION of the candidates are personal data."""
+    out, named = {}, named_shares(x, n, pos)
     for kind in np.unique(x[:, 0]):
         rows = np.flatnonzero(x[:, 0] == kind)
         rows = rows[np.argsort(-scores[rows], kind="stable")]
-        share = np.cumsum(pos[rows]) / np.cumsum(n[rows])
+        if int(kind) not in named:
+            continue
+        share = np.cumsum(pos[rows]) / np.cumsum(n[rows]) / named[int(kind)]
         edge = np.append(scores[rows][1:] < scores[rows][:-1] - 1e-12, True)  # equal scores stay together
         good = np.flatnonzero((share >= PRECISION) & edge)
         if len(good):
@@ -236,7 +276,7 @@ def thresholds(x: np.ndarray, n: np.ndarray, pos: np.ndarray, scores: np.ndarray
 
 def fit(df: DataFrame) -> tuple[Boosted, dict[int, float]] | None:
     table = (with_candidates(df.select("text")).select(F.explode("candidates").alias("c")).select("c.*")
-             .groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("positive").alias("pos")).orderBy(*FEATURES).collect())
+             .groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("named").alias("pos")).orderBy(*FEATURES).collect())
     if not table:
         return None
     x = np.array([[r[f] for f in FEATURES] for r in table])

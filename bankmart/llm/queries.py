@@ -89,11 +89,13 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from bankmart.llm.pii import BASE, find_pii, joined
+    from bankmart.llm.pii import BASE, KINDS, find_pii, joined
 
     return find_pii(table(spark, sf_dir, "documents")).select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
-        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index("secret"))).cast("long").alias("n_secret"),
+        F.size("spans").cast("long").alias("n_spans"))
 
 
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
