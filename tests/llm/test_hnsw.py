@@ -3,7 +3,9 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
+from bankmart.llm import hnsw
 from bankmart.llm.hnsw import nearest
 from bankmart.llm.queries import op7_hnsw
 
@@ -56,3 +58,48 @@ def test_edge_cases(spark):
         assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]])
     assert nearest(df.limit(0), lambda c: c % 20 == 0).collect() == []
     assert nearest(df.where("vec_id = 20"), lambda c: c % 20 == 0).collect() == []
+
+
+def unit(a):
+    return a / np.linalg.norm(a, axis=1, keepdims=True)
+
+
+def full_shard(kind: str, n: int = 8192, d: int = 64) -> np.ndarray:
+    rng = np.random.default_rng(3)
+    even, lengths = unit(rng.normal(size=(n, d))), rng.lognormal(0, 0.6, (n, 1))
+    if kind == "uniform":
+        return even
+    if kind == "unequal":
+        return even * lengths
+    size = int(kind.removeprefix("half").removeprefix("groups"))
+    x = np.repeat(unit(rng.normal(size=(n // size + 1, d))), size, axis=0)[:n] + rng.normal(size=(n, d)) * 0.01
+    if kind.startswith("half"):
+        x[n // 2:] = (even * lengths)[n // 2:]
+    return x
+
+
+@pytest.mark.parametrize("kind", ["uniform", "unequal", "groups50", "groups256", "groups1000", "half256"])
+def test_recall_of_a_full_shard(kind):
+    """Share of the 20 largest inner products found, and of the worst query."""
+    x = full_shard(kind)
+    layers = [hnsw.Layer(nodes, len(x), links) for nodes, links in hnsw.build(x)]
+    asked = np.arange(0, len(x), 40)
+    found = hnsw.search(x, layers, x[asked], hnsw.EF)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    least = np.sort(scores, axis=1)[:, -20]
+    hit = (found >= 0) & (found != asked[:, None])
+    got = np.where(hit, np.einsum("qd,qbd->qb", x[asked], x[found]), -np.inf)
+    recall = np.minimum((got >= least[:, None] - 1e-9).sum(1), 20) / 20
+    assert recall.mean() >= 0.97 and recall.min() >= 0.7
+
+
+def test_layers_hold_every_node_once():
+    for n in (1, 2, 7, 40, 500):
+        layers = hnsw.build(np.random.default_rng(n).normal(size=(n, 3)))
+        assert sorted(layers[0][0].tolist()) == list(range(n))
+        for nodes, links in layers:
+            inside = set(nodes.tolist())
+            for a, own in zip(nodes.tolist(), links.tolist(), strict=True):
+                to = [b for b in own if b >= 0]
+                assert len(to) == len(set(to)) and a not in to and set(to) <= inside
