@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bankmart.functions.numeric import exact_units, not_finite, ratio_pct, rounded_total
+from bankmart.functions.numeric import exact_units, not_finite, ratio_pct, rest_units, rounded_total
 from bankmart.plans import gold
 from bankmart.session import staged
 
@@ -29,6 +29,7 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
             F.count("transaction_id").alias("n"),
             F.sum(exact_units("balance_after_transaction")).alias("units"),
             F.sum(not_finite("balance_after_transaction")).alias("odd"),
+            F.sum(rest_units("balance_after_transaction")).alias("rest"),
         )
     )
     return (
@@ -36,7 +37,7 @@ def city_volumes(transactions: DataFrame, branches: DataFrame) -> DataFrame:
         .groupBy("branch_city")
         .agg(
             F.sum("n").alias("total_transactions"),
-            rounded_total(F.sum("units"), F.sum("odd")).alias("total_value"),
+            rounded_total(F.sum("units"), F.sum("odd"), rest=F.sum("rest")).alias("total_value"),
         )
         .orderBy(F.col("total_transactions").desc(), F.col("branch_city").asc_nulls_last())
     )

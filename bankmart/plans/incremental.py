@@ -22,13 +22,11 @@ breaks off is caught up by the next one, and nothing counts twice.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankmart import vocab
-from bankmart.functions.numeric import exact_units, not_finite, round_half_up, rounded_mean, rounded_total
+from bankmart.functions.numeric import exact_units, not_finite, rest_units, round_half_up, rounded_mean, rounded_total
 from bankmart.operators.impute import middle
 from bankmart.plans.gold import BRANCH_KEYS
 from bankmart.plans.medallion import MALFORMED
@@ -66,7 +64,8 @@ def current(lake: Lake, entity: str) -> DataFrame:
 def _amount(column: str) -> dict[str, Column]:
     """What a total or a mean of the column needs."""
     units = exact_units(column)
-    return {f"{column}_units": F.sum(units), f"{column}_n": F.count(units), f"{column}_odd": F.sum(not_finite(column))}
+    return {f"{column}_units": F.sum(units), f"{column}_n": F.count(units), f"{column}_odd": F.sum(not_finite(column)),
+            f"{column}_rest": F.sum(rest_units(column))}
 
 
 def _count(condition: Column) -> Column:
@@ -74,7 +73,7 @@ def _count(condition: Column) -> Column:
 
 
 def _mean(column: str, scale: int) -> Column:
-    return rounded_mean(F.col(f"{column}_units"), F.col(f"{column}_n"), F.col(f"{column}_odd"), scale)
+    return rounded_mean(F.col(f"{column}_units"), F.col(f"{column}_n"), F.col(f"{column}_odd"), scale, F.col(f"{column}_rest"))
 
 
 def _partials() -> dict[str, tuple[str, list[str], dict[str, Column]]]:
@@ -133,7 +132,7 @@ def loan_performance(lake: Lake) -> DataFrame:
     return follow_mart(lake, "loan_performance").select(
         "loan_type", "loan_status", "default_flag", "total_loans", _mean("principal_amount", 2).alias("avg_principal"),
         _mean("interest_rate", 2).alias("avg_interest_rate"), _mean("monthly_payment", 2).alias("avg_monthly_payment"),
-        rounded_total(F.col("balance_units"), F.col("balance_odd")).alias("total_remaining_balance"),
+        rounded_total(F.col("balance_units"), F.col("balance_odd"), rest=F.col("balance_rest")).alias("total_remaining_balance"),
         _mean("term_months", 2).alias("avg_term_months"))
 
 
@@ -171,7 +170,7 @@ def branch_performance(lake: Lake, branches: DataFrame | None = None) -> DataFra
     x = "balance_after_transaction"
     return dims.join(sums, "branch_id").select(
         *BRANCH_KEYS, "total_transactions", F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
-        rounded_total(F.col(f"{x}_units"), F.col(f"{x}_odd")).alias("total_value"), _mean(x, 2).alias("avg_transaction_value"),
+        rounded_total(F.col(f"{x}_units"), F.col(f"{x}_odd"), rest=F.col(f"{x}_rest")).alias("total_value"), _mean(x, 2).alias("avg_transaction_value"),
         *vocab.CHANNEL_GROUPS, "completed_count", "failed_count")
 
 
@@ -191,12 +190,17 @@ def customer_segments(lake: Lake) -> DataFrame:
     fill = F.lit(median).cast("double")
     gaps = F.when(F.col("gaps") > 0, F.col("gaps"))
     c = "annual_income"
-    units = reduce(lambda a, b: F.coalesce(a + b, a, b), [F.col(f"{c}_units"), (exact_units(fill) * gaps).cast("decimal(38,0)")])
-    odd = reduce(lambda a, b: F.coalesce(a + b, a, b), [F.col(f"{c}_odd"), F.when(gaps.isNotNull(), not_finite(fill))])
+
+    def with_gaps(name: str, each: Column, kind: str) -> Column:
+        both = F.col(f"{c}_{name}"), (each * gaps).cast(kind)
+        return F.coalesce(both[0] + both[1], *both)
+
+    units, rest = (with_gaps(n, x, "decimal(38,0)") for n, x in (("units", exact_units(fill)), ("rest", rest_units(fill))))
+    odd = with_gaps("odd", not_finite(fill), "double")
     n = F.col(f"{c}_n") + F.when(exact_units(fill).isNotNull(), F.col("gaps")).otherwise(0)
     filled = F.when(gaps.isNotNull(), fill)
     return follow_mart(lake, "customer_segments").select(
-        "risk_rating", "employment_status", "city", "total_customers", rounded_mean(units, n, odd, 2).alias("avg_annual_income"),
+        "risk_rating", "employment_status", "city", "total_customers", rounded_mean(units, n, odd, 2, rest).alias("avg_annual_income"),
         round_half_up(F.least("least", filled), 2).alias("min_annual_income"),
         round_half_up(F.greatest("largest", filled), 2).alias("max_annual_income"),
         "verified_count", "pending_count", "male_count", "female_count")

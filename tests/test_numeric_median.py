@@ -62,6 +62,25 @@ def test_totals_round_once_at_the_end(spark):
         total([1e18])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_amounts_of_many_decimals_are_added_whole(spark, seed):
+    """Against decimals: no value is rounded before the end, up to FINEST decimals."""
+    rnd = random.Random(seed)
+    vals = [rnd.choice([1, -1]) * float(f"{rnd.uniform(0, 10 ** rnd.randint(0, 4)):.{rnd.randint(0, 16)}f}") for _ in range(600)]
+    vals += [0.004999999999999999, 1e-13, -1e-13, 3e-18, 5e-13, -5e-13, 0.1234567890123456] * rnd.randint(1, 5) + [None]
+    groups = [(i % 7, v) for i, v in enumerate(vals)] + [(8, 0.005), (8, -1e-19), (9, -0.005), (9, 1e-19), (10, 0.0049999999999), (10, 1.0000000001e-13), (11, -0.005)]
+    got = spark.createDataFrame(groups, "g int, v double").repartition(5).groupBy("g").agg(
+        money_sum("v").alias("s"), mean_round("v", 2).alias("m"), money_sum("v", 4).alias("s4")).collect()
+    for r in got:
+        d = [Decimal(repr(v)) for g, v in groups if g == r.g and v is not None]
+        total = sum(d)
+        assert r.s == float(total.quantize(Decimal("0.01"), ROUND_HALF_UP)), r.g
+        assert r.s4 == float(total.quantize(Decimal("0.0001"), ROUND_HALF_UP)), r.g
+        assert r.m == _ref_mean([v for g, v in groups if g == r.g], 2), r.g
+    single = spark.createDataFrame([(0.004999999999999999,), (0.0050000000000000001,), (-0.00499999999999999,), (2.675,)], "v double")
+    assert [r[0] for r in single.select(round_half_up("v", 2)).collect()] == [0.0, 0.01, 0.0, 2.68]
+
+
 def test_ratio_pct_half_up(spark):
     df = spark.createDataFrame([(1, 8000), (1, 3), (2, 3), (0, 5), (5, 0)], "n long, d long")
     got = [r.p for r in df.select(ratio_pct("n", "d", 2).alias("p")).collect()]
