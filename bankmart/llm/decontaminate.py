@@ -21,8 +21,9 @@ Work is local to the scan's partitions.  Items are sent to the tasks in
 blocks of about ``ITEMS``, a pass over the documents for each block.
 
 Defined results: null and empty texts hold no item, items without a word are
-in no document; repeated documents and items are each reported; null ids
-pass through; an empty table on either side gives no rows; other columns are
+in no document; repeated documents and items are each reported; every window of
+a very long text is searched; of places with equally many edits the first
+counts; null ids pass through; an empty table on either side gives no rows; other columns are
 ignored by ``leaks`` and kept by ``without_leaks``.
 """
 

@@ -29,8 +29,9 @@ odds of about the product of their sizes / 2 ** 64.
 Defined results: documents without words have an empty set and are linked
 with nothing; with fewer words than n the whole sequence is one n-gram; null
 ids count as larger than any other, and a component without ids has a null
-id; repeated rows are in one component; an empty table gives no rows; other
-columns are ignored.
+id; repeated rows are in one component; very long texts are one set of n-grams, held
+by the task that reads them; pivots and segments of equal hash or size are taken
+by the smaller hash; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

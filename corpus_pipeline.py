@@ -4,7 +4,10 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all documents that
 its predecessor kept; all but the last return the columns of ``docs``.  What
 a stage returns is written as Parquet to the shared folder and read again as
 the next one's documents.  No stage relies on document ids being unique or
-present; null texts pass every filter and are packed as empty.
+present.  Null and empty texts pass every filter and are packed as their end id;
+very long texts are worked on whole; of repeated passages the first by document
+id (null last), then by row, stays, of near copies and repeated rows the first
+row; columns of any name pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
