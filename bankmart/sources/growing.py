@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from bankmart.functions import bloom
 from bankmart.operators.dedupe import dedupe_keep_first
-from bankmart.session import staged
+from bankmart.session import ensure_checkpoint_dir, staged
 from bankmart.sources.snapshots import SnapshotTable, Version
 
 DATABASE = "bankmart_growing"
@@ -85,7 +85,8 @@ class GrowingTable(SnapshotTable):
         return self.read_folders(of.index["filter"], "block long, bits binary")
 
     def _table(self, folder: str) -> str:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE}")
+        folder_of_all = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{DATABASE}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{folder_of_all}'")
         return f"{DATABASE}.{folder.replace('-', '_')}"
 
     def _write_keys(self, keys: DataFrame, buckets: int, number: int) -> str:

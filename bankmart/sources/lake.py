@@ -65,7 +65,7 @@ class Lake:
         newest versions, with their partitions found and the statistics of tables
         and columns collected, so that joins and scans are planned by them."""
         database = database or layer
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root.rstrip('/')}/_databases/{database}'")
         names = []
         for t in tables:
             name = f"`{database}`.`{t}`"
