@@ -69,18 +69,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
 class Shingler:
     def __init__(self, n: int, percent: int):
         self.n, self.percent = n, percent
-        self.words = _Words()
         self.odd = [np.uint64(int(x) | 1) for x in np.random.default_rng(17).integers(1 << 62, 1 << 63, n)]
         self.full = 0.88 * percent / (100 - percent) if percent < 100 else 8.0  # n-grams in a segment, at most on average
 
@@ -89,7 +80,7 @@ class Shingler:
         words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
         if not words:
             return np.zeros(0, np.uint64)
-        h = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         if len(h) < self.n:  # its own kind of n-gram, with its length
             total = (h * np.array(self.odd[:len(h)])).sum(dtype=np.uint64)
             return _mix(np.array([total]) + _times(len(h), _GOLD))
