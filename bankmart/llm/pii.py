@@ -93,15 +93,17 @@ def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
         end = start + F.length(pair["m"])
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("t")))).alias("found"))
 
-    blocks = F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int"))
     zero = F.lit(0).cast("long")
+    few = F.size("_m") <= BLOCK
+    blocks = F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int"))
     # what lies before each block, then the places within it
-    df = df.withColumn("_s", F.when(F.size("_m") > 0, F.transform(blocks, lambda i: F.aggregate(
+    df = df.withColumn("_s", F.when(~few, F.transform(blocks, lambda i: F.aggregate(
         block("_p", i), zero, lambda acc, pair: acc + pair["g"] + F.length(pair["m"])))))
-    found = F.flatten(F.transform(blocks, lambda i: F.aggregate(
+    many = F.flatten(F.transform(blocks, lambda i: F.aggregate(
         block("_p", i), F.struct(F.aggregate(F.slice("_s", F.lit(1), i), zero, lambda acc, x: acc + x).alias("at"), none.alias("found")),
         add, lambda acc: acc["found"])))
-    return df.withColumn(name, F.when(F.size("_m") > 0, found).otherwise(none)).drop("_m", "_p", "_s")
+    found = F.aggregate("_p", F.struct(zero.alias("at"), none.alias("found")), add, lambda acc: acc["found"])
+    return df.withColumn(name, F.when(F.size("_m") == 0, none).when(few, found).otherwise(many)).drop("_m", "_p", "_s")
 
 
 def _digits(t: Column) -> Column:
@@ -158,29 +160,44 @@ _CONTEXT_OF = {"email": 3, "ip": 4, "card": 1, "phone": 0, "secret": 2, "number"
 _LIKE = {"number": "phone", "secret": "email"}
 
 
-def _features(text: Column, s: Column, generator: int) -> Column:
-    t, digits = s["t"], F.length(_digits(s["t"]))
+def _seen(text: Column, s: Column, generator: int) -> Column:
+    """What several features of a candidate are made of, worked out once."""
+    t = s["t"]
     before = F.substr(text, F.greatest(s["start"] - 23, F.lit(1)).cast("int"), F.least(s["start"], F.lit(24)).cast("int"))
-    groups = F.least(F.size(F.split(t, "[^0-9]+")), F.lit(6))
-    strict_ip = t.rlike(r"\A[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+\z")
-    context = _first_of(*[(before.rlike(c), i) for i, c in enumerate(CONTEXTS)], otherwise=len(CONTEXTS))
+    after = F.substr(text, (s["end"] + 1).cast("int"), F.lit(1))
+    return F.struct(s["start"].alias("start"), s["end"].alias("end"), t.alias("t"), _digits(t).alias("d"), before.alias("before"),
+                    (t.rlike(DATE) if generator == 0 else F.lit(False)).alias("date"), after.alias("after"))
+
+
+def _checked(s: Column, generator: int) -> Column:
+    t, digits = s["t"], F.length(s["d"])
     if generator == 0:
+        strict_ip = t.rlike(r"\A[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+\z")
         kind = _first_of((strict_ip, 1), (t.rlike(r"\A[+(]"), 3), (digits.between(12, 19), 2), otherwise=5)
-        after = F.substr(text, (s["end"] + 1).cast("int"), F.lit(1))
-        alone = ~before.rlike(r"[\w.]\z") & ~after.rlike(r"\w") & ~t.rlike(DATE)
-        paren, trunk, plain = (t.rlike(form) for form in PHONES)
-        grouped = t.rlike(r"\A\(?[0-9]++(?:[ ().-]++[0-9]++)++\z") & digits.between(7, 15)
-        national = (t.startswith("(") | (kind == 5)) & alone
-        known = national & ((paren & digits.between(7, 15)) | (trunk & digits.between(9, 15)) | plain | (grouped & (context == 0)))
-        strict = F.when(strict_ip, _octets(t)).when(t.rlike(r"\A\+"), digits.between(9, 15)).otherwise(
-            t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(_digits(t)))
-        form = _first_of((strict, 0), (t.rlike(DATE), 1), (~alone, 2), (grouped, 3), otherwise=4)
+        strict = F.when(strict_ip, _octets(t)).when(t.startswith("+"), digits.between(9, 15)).otherwise(
+            digits.between(12, 19) & t.rlike(r"\A[0-9](?:[\x20-]?[0-9])++\z") & _luhn(s["d"]))
+        alone = ~s["before"].rlike(r"[\w.]\z") & ~s["after"].rlike(r"\w") & ~s["date"]
+        grouped = digits.between(7, 15) & t.rlike(r"\A\(?[0-9]++(?:[ ().-]++[0-9]++)++\z")
     else:
         kind = _first_of((t.rlike(r"@|\(at\)|\[at\]"), 0), otherwise=4)
-        known = (kind == 4) & t.rlike(SECRET)
         strict = t.rlike(r"\A[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z")
+        alone, grouped = F.lit(True), F.lit(False)
+    context = _first_of(*[(s["before"].rlike(c), i) for i, c in enumerate(CONTEXTS)], otherwise=len(CONTEXTS))
+    return F.struct(s["start"].alias("start"), s["end"].alias("end"), t.alias("t"), digits.alias("digits"), s["date"].alias("date"),
+                    kind.alias("kind"), strict.alias("strict"), alone.alias("alone"), grouped.alias("grouped"), context.alias("context"))
+
+
+def _features(s: Column, generator: int) -> Column:
+    t, digits, kind = s["t"], s["digits"], s["kind"]
+    if generator == 0:
+        paren, trunk, plain = (t.rlike(form) for form in PHONES)
+        known = (t.startswith("(") | (kind == 5)) & s["alone"] & (
+            (digits.between(7, 15) & paren) | (digits.between(9, 15) & trunk) | plain | (s["grouped"] & (s["context"] == 0)))
+        form = _first_of((s["strict"], 0), (s["date"], 1), (~s["alone"], 2), (s["grouped"], 3), otherwise=4)
+    else:
+        known = (kind == 4) & t.rlike(SECRET)
         spelt = t.rlike(r"(?:\(at\)|\[at\]|@) ?[A-Za-z0-9-]") & t.rlike(r"\.[A-Za-z]{2,24}\z")
-        form = _first_of((strict, 0), (spelt, 1), (t.rlike(r"(?:\(at\)|\[at\]|@)"), 2), (known, 3), otherwise=4)
+        form = _first_of((s["strict"], 0), (spelt, 1), (kind == 0, 2), (t.rlike(SECRET), 3), otherwise=4)
     own = F.array(*[F.lit(_CONTEXT_OF[k]) for k in KINDS])[kind]
     return F.struct(
         s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind"),
@@ -188,7 +205,8 @@ def _features(text: Column, s: Column, generator: int) -> Column:
         _first_of((t.rlike(r"\A[0-9A-Za-z]+\z"), 0), (~t.rlike("[^0-9.]"), 1), (~t.rlike("[^0-9 ]"), 2), (~t.rlike("[^0-9-]"), 3),
                   (~t.rlike("[^0-9:/]"), 4), otherwise=5).alias("separators"),
         _first_of((t.startswith("+"), 0), (t.startswith("("), 1), (t.startswith("0"), 4), (t.rlike(r"\A[0-9]"), 2), otherwise=3).alias("lead"),
-        groups.alias("groups"), form.alias("form"), (context == own).cast("int").alias("named"), known.alias("known"))
+        F.least(F.size(F.split(t, "[^0-9]+")), F.lit(6)).alias("groups"), form.alias("form"),
+        (s["context"] == own).cast("int").alias("named"), known.alias("known"))
 
 
 def with_candidates(df: DataFrame) -> DataFrame:
@@ -196,7 +214,8 @@ def with_candidates(df: DataFrame) -> DataFrame:
         df = _matches(df, f"_c{i}", pattern)
 
     def featured(i: int) -> Column:
-        return F.transform(f"_c{i}", lambda s: _features(F.col("text"), s, i))
+        seen = F.transform(f"_c{i}", lambda s: _seen(F.col("text"), s, i))
+        return F.transform(F.transform(seen, lambda s: _checked(s, i)), lambda s: _features(s, i))
 
     parts = [featured(i) for i in range(len(GENERATORS))]
     return df.withColumn("candidates", F.concat(*parts)).drop(*[f"_c{i}" for i in range(len(GENERATORS))])
