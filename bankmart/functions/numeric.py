@@ -6,7 +6,7 @@ text of the double, not its binary tail) and rounded once, at the end, half
 away from zero with exact integer division, so a total or a mean is the same
 on 8 or 8,000 tasks.  A value goes into two sums: its units of 10**-DECIMALS,
 and what those leave, in units of 10**-FINEST.  Doubles whose text has more
-than FINEST decimals are cut there (below 1e-5 only have so many):
+than FINEST decimals are rounded there (only those below 1e-5 have so many):
 
 * ``money_sum``     - sum, rounded half-up to ``scale`` decimals;
 * ``mean_round``    - mean, rounded half-up to ``scale`` decimals;
