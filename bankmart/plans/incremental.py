@@ -32,7 +32,7 @@ from bankmart.plans.gold import BRANCH_KEYS
 from bankmart.plans.medallion import MALFORMED
 from bankmart.plans.silver import STEPS
 from bankmart.schemas import ARRIVAL, KEYS
-from bankmart.sources.bronze import CORRUPT, bronze_view, read_csv_text
+from bankmart.sources.bronze import CORRUPT, bronze_view, read_csv_text, short_arrival
 from bankmart.sources.growing import GrowingTable
 from bankmart.sources.lake import Lake
 from bankmart.sources.snapshots import SnapshotTable, Version
@@ -48,7 +48,7 @@ def take(lake: Lake, entity: str, paths: str | list[str]) -> Version:
     text = read_csv_text(lake.spark, paths, entity).withColumn(MALFORMED, F.col(CORRUPT).isNotNull())
     bronze = lake.snapshots("bronze", entity)
     bronze.append(text, [MALFORMED], {"malformed": F.count_if(MALFORMED)})
-    rows = bronze_view(bronze.added().where(~F.col(MALFORMED)).drop(CORRUPT), entity)
+    rows = bronze_view(short_arrival(bronze.added().where(~F.col(MALFORMED)).drop(CORRUPT)), entity)
     steps = STEPS[entity]
     return growing(lake, entity).add(steps.before(rows), KEYS[entity], lambda first: steps.after(first).drop(ARRIVAL))
 
