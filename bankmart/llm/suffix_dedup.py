@@ -56,6 +56,8 @@ CELL = 8
 BLOCK = 4 << 20
 #: Documents of a block, and windows worked on at once.
 ROWS, SLICE = 1 << 20, 1 << 18
+#: Records of a batch that a task hands back, or cells cut at once.
+PART = 1 << 15
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -94,10 +96,8 @@ def runs(raw: bytes, starts: np.ndarray, lengths: np.ndarray, threshold: int) ->
     k = anchor_width(threshold)
     reach = threshold - k + 1  # places that may be a window's anchor
     words = _words(raw)
-    edge = np.zeros(len(raw) + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.maximum(starts, starts + lengths - threshold + 1), -1)
-    inside = np.cumsum(edge[:-1]) > 0  # windows within one document
+    holds = lengths >= threshold
+    opens, closes = starts[holds], (starts + lengths - threshold + 1)[holds]  # windows within one document
     found = []
     for lo in range(0, len(raw) - threshold + 1, SLICE):
         hi = min(lo + SLICE, len(raw) - threshold + 1)
@@ -115,7 +115,9 @@ def runs(raw: bytes, starts: np.ndarray, lengths: np.ndarray, threshold: int) ->
             width *= 2
         if width < reach:
             least = np.minimum(least[:len(least) - (reach - width)], least[reach - width:])
-        at = np.flatnonzero(inside[lo:hi])
+        some = slice(np.searchsorted(closes, lo, "right"), np.searchsorted(opens, hi))
+        edge = np.bincount(np.maximum(opens[some], lo) - lo, minlength=hi - lo + 1) - np.bincount(np.minimum(closes[some], hi) - lo, minlength=hi - lo + 1)
+        at = np.flatnonzero(np.cumsum(edge[:-1]))
         if not len(at):
             continue
         anchor = (least[at] & np.uint64(0xFFFFFF)).astype(np.int64)
@@ -197,6 +199,11 @@ def _records(columns: list, piece: list | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, batch.num_rows, PART):
+        yield batch.slice(lo, PART)
+
+
 def _first_runs(threshold: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -205,8 +212,8 @@ def _first_runs(threshold: int):
                 run = runs(block.raw, block.starts, block.lengths, threshold)
                 first = first_in_block(run, block.rank())
                 run = {c: x[first] for c, x in run.items()}
-                yield _records([run["key"], _ab(run), run["span"], block.ids.take(pa.array(run["doc"])), (block.id << 20) + run["doc"],
-                                run["p"] - block.starts[run["doc"]]])
+                yield from _parts(_records([run["key"], _ab(run), run["span"], block.ids.take(pa.array(run["doc"])), (block.id << 20) + run["doc"],
+                                            run["p"] - block.starts[run["doc"]]]))
 
     return emit
 
@@ -259,16 +266,19 @@ def _cells(threshold: int):
                 doc = row & (ROWS - 1)
                 a, b = ab >> 20, ab & (ROWS - 1)
                 many = b // CELL - a // CELL + 1
-                of = np.repeat(np.arange(len(row)), many)
-                cell = a[of] // CELL + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-                low, high = np.maximum(a[of], cell * CELL), np.minimum(b[of], cell * CELL + CELL - 1)
-                place = p[of] + block.starts[doc[of]]
+                upto = np.cumsum(many)
                 words = _words(block.raw)
-                core = _hash_ranges(words, place - cell * CELL, np.full(len(of), threshold - CELL + 1), 2)
-                start, end = place - high, place - low + threshold
-                key = _mix(core + cell.astype(np.uint64) * _A)
-                yield _records([key, (low << 20) + high, _hash_ranges(words, start, end - start, 3), block.ids.take(pa.array(doc[of])),
-                                row[of], p[of]], [block.raw[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)])
+                for lo in range(0, int(many.sum()), PART):
+                    nth = np.arange(lo, min(lo + PART, upto[-1]))
+                    of = np.searchsorted(upto, nth, "right")
+                    cell = a[of] // CELL + nth - (upto - many)[of]
+                    low, high = np.maximum(a[of], cell * CELL), np.minimum(b[of], cell * CELL + CELL - 1)
+                    place = p[of] + block.starts[doc[of]]
+                    core = _hash_ranges(words, place - cell * CELL, np.full(len(of), threshold - CELL + 1), 2)
+                    start, end = place - high, place - low + threshold
+                    key = _mix(core + cell.astype(np.uint64) * _A)
+                    yield _records([key, (low << 20) + high, _hash_ranges(words, start, end - start, 3), block.ids.take(pa.array(doc[of])),
+                                    row[of], p[of]], [block.raw[x:y] for x, y in zip(start.tolist(), end.tolist(), strict=True)])
 
     return emit
 
@@ -288,8 +298,8 @@ def _windows(threshold: int):
             sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
             words = _words(b"".join(pieces))
             start, length = (np.cumsum(sizes) - sizes)[of] + nth, np.full(len(of), threshold)
-            yield _records([_hash_ranges(words, start, length, 4), np.zeros(len(of), np.int64), _hash_ranges(words, start, length, 5),
-                            column["doc_id"].take(pa.array(of)), row[of], p[of] - high[of] + nth])
+            yield from _parts(_records([_hash_ranges(words, start, length, 4), np.zeros(len(of), np.int64), _hash_ranges(words, start, length, 5),
+                                        column["doc_id"].take(pa.array(of)), row[of], p[of] - high[of] + nth]))
 
     return emit
 
@@ -321,24 +331,19 @@ def _cut(threshold: int):
 
 
 def _cut_block(block: _Block, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-    n = len(block.raw)
-    edge = np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1)
-    gone = np.cumsum(edge[:-1]) > 0
-    cut = np.concatenate(([0], np.cumsum(gone)))
-    ends_of = block.starts + block.lengths
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
     # maximal runs; documents part them
-    begin = gone & ~np.append(False, gone[:-1])
-    stop = gone & ~np.append(gone[1:], False)
-    filled = block.starts[block.lengths > 0]
-    begin[filled] = gone[filled]
-    stop[filled[1:] - 1] = gone[filled[1:] - 1]
-    begin, stop = np.flatnonzero(begin), np.flatnonzero(stop) + 1
-    of = np.searchsorted(block.starts, begin, "right") - 1
+    of = np.searchsorted(block.starts, starts, "right") - 1
+    first = np.flatnonzero(np.append(True, (starts[1:] > reach[:-1]) | (of[1:] != of[:-1]))[:len(starts)])
+    begin, stop, of = starts[first], reach[np.append(first[1:], len(starts))[:len(first)] - 1], of[first]
     counts = np.bincount(of, minlength=len(block.lengths))
     spans = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.StructArray.from_arrays(
         [pa.array(begin - block.starts[of]), pa.array(stop - block.starts[of])], names=["start", "end"]), type=_SPANS)
-    kept = np.frombuffer(block.raw, np.uint8)[~gone].tobytes()
-    at = np.append(0, np.cumsum(block.lengths - (cut[ends_of] - cut[block.starts]))).astype(np.int64)
+    raw, gone = memoryview(block.raw), np.zeros(len(block.lengths), np.int64)
+    np.add.at(gone, of, stop - begin)
+    kept = b"".join(raw[x:y] for x, y in zip([0, *stop.tolist()], [*begin.tolist(), len(raw)], strict=True))
+    at = np.append(0, np.cumsum(block.lengths - gone)).astype(np.int64)
     texts = pa.Array.from_buffers(pa.large_binary(), len(block.lengths), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(kept)])
     return pa.RecordBatch.from_arrays([block.ids, pa.array(block.lengths), spans, texts.cast(pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 

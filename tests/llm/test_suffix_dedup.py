@@ -122,3 +122,35 @@ def test_against_sql(spark):
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_a_task_takes_little_beside_its_block(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n = 200
+    raw = np.random.default_rng(3).integers(97, 123, n * 20_000, np.uint8).tobytes()
+    lengths = np.full(n, 20_000)
+    starts = np.cumsum(lengths) - lengths
+    block = object.__new__(suffix_dedup._Block)
+    block.id, block.ids, block.raw, block.lengths, block.starts = 0, pa.array(range(n)), raw, lengths, starts
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            return work(), tracemalloc.get_traced_memory()[1] / len(raw)
+        finally:
+            tracemalloc.stop()
+
+    cut, most = peak(lambda: suffix_dedup._cut_block(block, starts + 7, starts + 207))
+    assert most < 3  # it was over 20 times the block
+    assert cut.column(2)[5].as_py() == [{"start": 7, "end": 207}] and cut.column(3)[5].as_py() == raw[100_000:100_007] + raw[100_207:120_000]
+    _, most = peak(lambda: suffix_dedup.runs(raw, starts, lengths, 100))
+    assert most < 10  # it was over 12 times
+    # what a task hands back comes in bounded batches
+    monkeypatch.setattr(suffix_dedup, "PART", 1000)
+    got = pa.RecordBatch.from_arrays(
+        [pa.array([0]), pa.array([list(range(n))], pa.list_(pa.int64())), pa.array([lengths.tolist()], pa.list_(pa.int64())), pa.array([pa.compress(raw, codec="zstd", asbytes=True)])],
+        schema=suffix_dedup._BLOCKS)
+    assert max(b.num_rows for b in suffix_dedup._first_runs(100)(iter([got]))) == 1000
