@@ -9,9 +9,10 @@ The marts keep partial sums of their groups in ``state``: a mart follows by
 aggregating the rows added since and merging them with what it has.
 
 * Counts, exact amounts, least and largest values merge as such.
-* Distinct customers of a branch are bitmaps: a customer gets a number once
-  (a growing table too), a branch has one bit for each, and bitmaps of 4 KB are
-  built before the shuffle and merged by or.
+* Distinct customers of a branch are numbers and bitmaps: a customer gets a number
+  once (a growing table too), and the numbers fall into buckets of 32,768.  A
+  branch has a row for each customer of a bucket while those are few, which takes
+  less than a bitmap, and a bitmap of 4 KB once they are many; bitmaps merge by or.
 * The customers' incomes are kept without the median in the gaps, with the
   number of gaps of each group and a histogram of all incomes; the median of
   that fills the gaps when the mart is read.
@@ -22,7 +23,7 @@ breaks off is caught up by the next one, and nothing counts twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart import vocab
@@ -35,7 +36,10 @@ from bankmart.schemas import ARRIVAL, KEYS
 from bankmart.sources.bronze import CORRUPT, bronze_view, read_csv_text, short_arrival
 from bankmart.sources.growing import GrowingTable
 from bankmart.sources.lake import Lake
-from bankmart.sources.snapshots import SnapshotTable, Version
+from bankmart.sources.snapshots import SnapshotTable, Version, narrow_splits, scratch
+
+#: Customers of a branch in a bucket of numbers, before they are a bitmap: as many as take its 4 KB.
+MOST_LISTED = 1 << 11
 
 
 def growing(lake: Lake, entity: str) -> GrowingTable:
@@ -50,7 +54,8 @@ def take(lake: Lake, entity: str, paths: str | list[str]) -> Version:
     bronze.append(text, [MALFORMED], {"malformed": F.count_if(MALFORMED)})
     rows = bronze_view(short_arrival(bronze.added().where(~F.col(MALFORMED)).drop(CORRUPT)), entity)
     steps = STEPS[entity]
-    return growing(lake, entity).add(steps.before(rows), KEYS[entity], lambda first: steps.after(first).drop(ARRIVAL))
+    with narrow_splits(lake.spark):
+        return growing(lake, entity).add(steps.before(rows), KEYS[entity], lambda first: steps.after(first).drop(ARRIVAL))
 
 
 def current(lake: Lake, entity: str) -> DataFrame:
@@ -100,16 +105,20 @@ def _merged(state: DataFrame, keys: list[str]) -> DataFrame:
     return state.groupBy(*keys).agg(*[how.get(c, F.sum)(c).alias(c) for c in state.columns if c not in keys])
 
 
-def _follow(lake: Lake, state: SnapshotTable, entity: str, partial, merge) -> DataFrame:
+def _follow(lake: Lake, state: SnapshotTable, entity: str, partial, merge, merged: bool = True) -> DataFrame:
     """``state`` brought up to its source: what ``partial`` makes of the rows added
-    since, merged with what the state has."""
+    since, merged with what the state has.  ``merged``: as ``partial`` has merged
+    them among themselves, a first state is left as it is."""
     source = growing(lake, entity)
     upto, done = source.version().number, state.version().index["source"] if state.numbers() else 0
     if done < upto:
-        new = partial(source.added(done))
-        if done:
-            new = merge(state.read().unionByName(new))
-        state.write(new, index={"source": upto})
+        with narrow_splits(lake.spark):
+            new = partial(source.added(done))
+            if done:
+                new = state.read().unionByName(new, allowMissingColumns=True)
+            if done or not merged:
+                new = merge(new)
+            state.write(new, index={"source": upto})
     return state.read()
 
 
@@ -148,24 +157,35 @@ def numbered_customers(lake: Lake, rows: DataFrame) -> DataFrame:
 
 
 def follow_branch_customers(lake: Lake) -> DataFrame:
-    """branch_id, bucket, bits: the customers of each branch, up to date."""
+    """branch_id, bucket, at, bits: the customers of each branch, up to date.  Up to
+    ``MOST_LISTED`` customers of a bucket have a row each (``at``, the position in
+    the bucket), more are one bitmap (``bits``)."""
+    bucket = ["branch_id", "bucket"]
 
-    def partial(rows: DataFrame) -> DataFrame:
-        pairs = rows.select("branch_id", "customer_id").where("branch_id is not null and customer_id is not null")
-        numbered = pairs.distinct().join(numbered_customers(lake, pairs), "customer_id")
-        return numbered.groupBy("branch_id", F.bitmap_bucket_number("number").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    with scratch(lake.spark) as stage:
+
+        def partial(rows: DataFrame) -> DataFrame:
+            pairs = rows.select("branch_id", "customer_id").where("branch_id is not null and customer_id is not null")
+            pairs = stage(pairs.distinct(), "pairs")
+            numbered = pairs.join(numbered_customers(lake, pairs), "customer_id")
+            at = F.bitmap_bit_position("number").cast("int")
+            return numbered.select("branch_id", F.bitmap_bucket_number("number").alias("bucket"), at.alias("at"), F.lit(None).cast("binary").alias("bits"))
 
-    def merge(both: DataFrame) -> DataFrame:
-        return both.groupBy("branch_id", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        def packed(both: DataFrame) -> DataFrame:
+            of = Window.partitionBy(*bucket)
+            many = (F.count("at").over(of) > MOST_LISTED) | (F.count("bits").over(of) > 0)
+            found = stage(both.repartition(*bucket).distinct().withColumn("many", many), "customers")
+            built = found.where("many and at is not null").groupBy(*bucket).agg(F.bitmap_construct_agg("at").alias("bits"))
+            bitmaps = built.unionByName(found.where("bits is not null").select(*bucket, "bits")).groupBy(*bucket).agg(F.bitmap_or_agg("bits").alias("bits"))
+            return found.where("not many").drop("many").unionByName(bitmaps, allowMissingColumns=True)
 
-    return _follow(lake, _state(lake, "branch_customers"), "transactions", partial, merge)
+        return _follow(lake, _state(lake, "branch_customers"), "transactions", partial, packed, merged=False)
 
 
 def branch_performance(lake: Lake, branches: DataFrame | None = None) -> DataFrame:
     """The branch mart of all files taken so far; ``branches`` by default those taken too."""
     dims = (current(lake, "branches") if branches is None else branches).select(*BRANCH_KEYS)
-    customers = follow_branch_customers(lake).groupBy("branch_id").agg(F.sum(F.bitmap_count("bits")).alias("unique_customers"))
+    customers = follow_branch_customers(lake).groupBy("branch_id").agg(F.sum(F.coalesce(F.bitmap_count("bits"), F.lit(1))).alias("unique_customers"))
     sums = follow_mart(lake, "branch_performance").where(F.col("branch_id").isNotNull()).join(customers, "branch_id", "left")
     x = "balance_after_transaction"
     return dims.join(sums, "branch_id").select(

@@ -24,6 +24,11 @@ def orders(spark, folder: str, n: int) -> str:
     return folder
 
 
+def shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.length()))
+
+
 def test_raw_files_grow_in_number_with_the_table(spark, scratch, monkeypatch):
     monkeypatch.setattr(lake_queries, "FILE_ROWS", 100)
     sf = orders(spark, os.path.join(scratch, "sf"), 2000)
@@ -55,6 +60,23 @@ def test_few_partitions_are_written_without_a_sort(spark, scratch):
     assert spark.conf.get(WRITERS, None) == before
 
 
+def test_a_write_frees_its_shuffle_and_puts_settings_back(spark, scratch):
+    from bankmart.sources.snapshots import FREED, MOST_SPLIT, SPLIT, narrow_splits
+
+    before = spark.conf.get(FREED, None), spark.conf.get(SPLIT, None)
+    with narrow_splits(spark):
+        assert int(spark.conf.get(SPLIT)) == MOST_SPLIT
+    spark.conf.set(SPLIT, "1m")
+    with narrow_splits(spark):
+        assert int(spark.conf.get(SPLIT)) == 1 << 20
+    spark.conf.unset(SPLIT)
+    held = shuffle_files(spark)
+    df = spark.range(3000).selectExpr("id", "id % 20 as part").repartition(7, "part")
+    assert Lake(spark, scratch).write(df, "bronze", "t") == 3000
+    assert shuffle_files(spark) <= held
+    assert (spark.conf.get(FREED, None), spark.conf.get(SPLIT, None)) == before
+
+
 def test_short_arrival_sorts_like_the_path(spark):
     df = spark.range(300).selectExpr("id % 40 as k", "id", "struct(concat('file:///long/', id * 7 % 12) as file, id % 3 as block, id as pos) as _arrival")
     df = df.unionByName(spark.sql("select 1L as k, -1L as id, struct(cast(null as string) as file, 0L as block, 0L as pos) as _arrival"))

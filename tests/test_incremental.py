@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from dataclasses import replace
+
 import pytest
 from conftest import rows, sf_dir
 from pyspark.sql import functions as F
@@ -67,6 +70,71 @@ def test_index_is_not_shuffled(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_of_an_increment_are_shuffled_once_and_staged_nowhere(spark, scratch, monkeypatch):
+    root = os.path.dirname(staged(spark.range(1), "probe").inputFiles()[0].removeprefix("file:")).rsplit("/", 1)[0]
+    table, full, written = GrowingTable(spark, f"{scratch}/t"), events(spark).withColumn("wide", F.lit("payload")), []
+    in_parts(table, full, [0, 1000])
+    before = set(os.listdir(root))
+    plain = GrowingTable.write_folder
+
+    def seen(self, df, folder, *more):
+        written.append((folder.split("-")[0], df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(self, df, folder, *more)
+
+    monkeypatch.setattr(GrowingTable, "write_folder", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        in_parts(table, full, [1000, 3000])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(table.read(), "k", "v") == rows(dedupe_keep_first(full, "k"), "k", "v")
+    plan, = [p for what, _, p in written if what == "data"]
+    assert plan.count("Exchange hashpartitioning") == 2 and "wide" in plan  # the rows, and the known keys
+    assert set(os.listdir(root)) == before  # nothing stays of what was staged
+
+
+def test_a_filter_of_the_earlier_kind_is_not_asked(spark, scratch):
+    """Its blocks went by another hash, so it could deny keys that the table has."""
+    table, full = GrowingTable(spark, f"{scratch}/t"), events(spark)
+    in_parts(table, full, [0, 1000])
+    of = table.version()
+    index = {k: v for k, v in of.index.items() if k != "bucket_blocks"} | {"blocks": 3}
+    table.commit(replace(of, number=2, index=index))
+    in_parts(table, full, [0, 3000])
+    assert rows(table.read(), "k", "v") == rows(dedupe_keep_first(full, "k"), "k", "v")
+    assert table.version().index["bucket_blocks"] and table.add(full, "k").counts == {"added": 0}
+
+
+def test_blocks_of_a_filter_follow_the_buckets_of_the_keys(spark, scratch):
+    """Else every task that reads keys would shuffle a bitmap of every block."""
+    table = GrowingTable(spark, f"{scratch}/t")
+    table.add(spark.range(20000).selectExpr("cast(id as string) as k", "id as v", "id as _arrival"), "k")
+    of = table.version()
+    keys = table.read_folders(of.index["keys"], f"{KEY} string")
+    blocks = of.index["bucket_blocks"] * of.index["buckets"]
+    found = keys.select(bloom.block_of(F.col(KEY), blocks), F.input_file_name().alias("file")).distinct().collect()
+    assert len(found) == len({r.block for r in found}) == blocks
+
+
+def test_few_customers_of_a_bucket_are_rows_and_many_a_bitmap(spark, scratch, monkeypatch):
+    monkeypatch.setattr(incremental, "MOST_LISTED", 20)
+    lake, want = Lake(spark, scratch), None
+    # a hundred branches with three customers each, and one with all: all of them few, then one of many, then more of that
+    for lo, hi in ((0, 15), (15, 300), (300, 400)):
+        new = spark.range(lo, hi).selectExpr("concat('t', id) as transaction_id", "concat('b', id % 100) as branch_id", "concat('c', id) as customer_id")
+        new = new.unionByName(new.selectExpr("concat('a', transaction_id) as transaction_id", "'all' as branch_id", "customer_id")).withColumn("_arrival", F.lit(0))
+        incremental.growing(lake, "transactions").add(new, "transaction_id", lambda df: df.drop("_arrival"))
+        want = new if want is None else want.unionByName(new)
+        found = incremental.follow_branch_customers(lake)
+        count = found.groupBy("branch_id").agg(F.sum(F.coalesce(F.bitmap_count("bits"), F.lit(1))).alias("n"))
+        assert rows(count) == rows(want.groupBy("branch_id").agg(F.countDistinct("customer_id").alias("n")))
+        assert found.where("(at is null) = (bits is null)").count() == 0
+        kinds = found.groupBy("branch_id", "bucket").agg(F.count("at").alias("listed"), F.count("bits").alias("bitmaps"))
+        assert kinds.where("bitmaps > 1 or listed > 20 or (bitmaps = 1 and listed > 0)").count() == 0
+    assert found.where("branch_id = 'all' and bits is not null").count() > 0
+    assert found.where("branch_id <> 'all' and bits is not null").count() == 0
+
+
 def test_filter_denies_no_key_and_few_others(spark):
     keys = spark.range(5000).selectExpr("concat('k', id) as key")
     built = bloom.build(keys.where("substr(key, 2) % 2 = 0"), F.col("key"), 2)
